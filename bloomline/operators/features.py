@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bloomline.config import BASELINE_YEARS, FIRST_BLOOM, LOCATION_WIDTH, REQUIRED_FEATURES
 from bloomline.functions.codes import location_code, pad_location
@@ -82,13 +82,18 @@ def month_cells(climate: DataFrame, width: int) -> DataFrame:
     )
 
 
-def normals_of_cells(cells: DataFrame, first: int, last: int) -> DataFrame:
-    """``climate_normals`` out of month cells, so the fact is read only once."""
-    inside = lambda c: F.sum(F.when(F.col("year").between(first, last), F.col(c)))
-    return cells.groupBy("location_code", "month").agg(
-        F.try_divide(inside("temp_sum"), inside("temp_n")).alias("avg_temp"),
-        F.try_divide(inside("precip_sum"), inside("precip_n")).alias("avg_precip"),
-    )
+def with_normals(cells: DataFrame, first: int, last: int) -> DataFrame:
+    """Month cells next to the normals of their location and month.
+
+    A window partition is one location and month, so at most one cell per
+    calendar year; the fact is read once and nothing is joined.
+    """
+    same_month = Window.partitionBy("location_code", "month")
+    inside = lambda c: F.sum(F.when(F.col("year").between(first, last), F.col(c))).over(same_month)
+    return cells.withColumns({
+        "avg_temp": F.try_divide(inside("temp_sum"), inside("temp_n")),
+        "avg_precip": F.try_divide(inside("precip_sum"), inside("precip_n")),
+    })
 
 
 def _filled(measure: str, normal: str) -> tuple[Column, Column]:
@@ -119,10 +124,9 @@ def season_features(
     width: int = LOCATION_WIDTH,
 ) -> DataFrame:
     """Features of every (location, target year) the climate covers."""
-    cells = month_cells(climate, width)
-    normals = normals_of_cells(cells, *baseline)
+    cells = with_normals(month_cells(climate, width), *baseline)
     (t_sum, t_n), (p_sum, p_n) = _filled("temp", "avg_temp"), _filled("precip", "avg_precip")
-    filled = cells.join(normals, on=["location_code", "month"], how="left").select(
+    filled = cells.select(
         "location_code",
         (F.col("year") + F.when(F.col("month") >= 9, 1).otherwise(0)).alias("year"),
         "month",

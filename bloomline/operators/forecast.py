@@ -16,43 +16,60 @@ from bloomline.schemas import FORECAST
 from bloomline.sources.contracts import conform
 
 
+def model_rows(
+    spark: SparkSession, selection: list[dict], training_row_count: int, model_version: str = MODEL_VERSION
+) -> DataFrame:
+    """Candidate metrics as a table, one row per model; the first one is the best."""
+    rows = [
+        (r["model_name"], model_version, rank == 0, training_row_count,
+         r["rmse_days"], r["mae_days"], r["r2_score"])
+        for rank, r in enumerate(selection)
+    ]
+    return spark.createDataFrame(rows, MODEL_COLUMNS)
+
+
+MODEL_COLUMNS = (
+    "model_name string, model_version string, is_best_model boolean, training_row_count int, "
+    "rmse_days double, mae_days double, r2_score double"
+)
+
+
 def build_forecast(
     predicted: DataFrame,
-    model_name: str,
-    metrics: dict,
-    training_row_count: int,
-    is_best_model: bool,
+    models: DataFrame,
     trained_at: dt.datetime,
     station_metrics: DataFrame | None = None,
-    model_version: str = MODEL_VERSION,
 ) -> DataFrame:
-    """Forecast fact rows of one model.
+    """Forecast fact rows of any number of models.
 
-    The station error falls back to the model's own where a station has too few
-    test rows or no station metrics are given.
+    ``predicted`` has location_code, year, event_type, using_climate_normals,
+    model_name and prediction; ``models`` is one row per model as in
+    ``model_rows``. Station errors apply to the best model; a station with too
+    few test rows falls back to the model's own error.
     """
     doy = predicted_doy(F.col("prediction"))
-    rows = predicted.withColumns({
-        "forecast_year": F.col("year"),
-        "predicted_day_of_year": doy,
-        "predicted_event_date": doy_to_date(F.col("year"), doy),
-        "model_name": F.lit(model_name),
-        "model_version": F.lit(model_version),
-        "is_best_model": F.lit(is_best_model),
-        "trained_at": F.lit(trained_at).cast("timestamp_ntz"),
-        "training_row_count": F.lit(training_row_count),
-        "rmse_days": F.lit(metrics["rmse_days"]),
-        "mae_days": F.lit(metrics["mae_days"]),
-        "r2_score": F.lit(metrics["r2_score"]),
-        "prediction_status": prediction_status(F.col("using_climate_normals")),
-        "source_name": F.lit(f"model_{model_name}"),
-    })
+    rows = predicted.select(
+        "location_code",
+        F.col("year").alias("forecast_year"),
+        "event_type",
+        doy.alias("predicted_day_of_year"),
+        doy_to_date(F.col("year"), doy).alias("predicted_event_date"),
+        "model_name",
+        prediction_status(F.col("using_climate_normals")).alias("prediction_status"),
+    ).join(models, on="model_name")
     station = F.lit(None).cast("double")
     if station_metrics is not None:
         known = station_metrics.select("location_code", F.col("mae_days").alias("_station_mae"))
         rows = rows.join(known, on="location_code", how="left")
-        station = F.col("_station_mae")
-    return conform(rows.withColumn("station_mae_days", F.coalesce(station, "mae_days")), FORECAST)
+        station = F.when(F.col("is_best_model"), F.col("_station_mae"))
+    return conform(
+        rows.withColumns({
+            "trained_at": F.lit(trained_at).cast("timestamp_ntz"),
+            "station_mae_days": F.coalesce(station, "mae_days"),
+            "source_name": F.concat(F.lit("model_"), "model_name"),
+        }),
+        FORECAST,
+    )
 
 
 def build_all(
@@ -67,16 +84,13 @@ def build_all(
 ) -> DataFrame:
     """Forecasts of every candidate refitted on all rows; the first of ``selection`` is best."""
     validate_features(prediction)
-    n = train.count()
     frames = []
-    for rank, row in enumerate(selection):
+    for row in selection:
         name = row["model_name"]
         model = (fitted or {}).get(name) or fit_final_model(train, name, candidates)
-        frames.append(build_forecast(
-            with_prediction(model, prediction), name, row, n, rank == 0, trained_at,
-            station_metrics if rank == 0 else None, model_version,
-        ))
-    return union_all(frames)
+        frames.append(with_prediction(model, prediction).withColumn("model_name", F.lit(name)))
+    models = model_rows(train.sparkSession, selection, train.count(), model_version)
+    return build_forecast(union_all(frames), models, trained_at, station_metrics)
 
 
 def metadata_row(

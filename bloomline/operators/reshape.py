@@ -44,16 +44,21 @@ def unpivot_years(
 
     def cell(name: str) -> Column:
         attribute = attributes.get(int(name))
-        raw = F.col(f"`{attribute}`") if attribute else F.lit(None).cast("string")
         return F.struct(
             F.lit(int(name)).alias("year"),
-            normalize_mmdd(F.col(f"`{name}`")).alias("event_date_raw"),
-            clean_text(raw).alias("rm_raw"),
+            F.col(f"`{name}`").cast("string").alias("event_date_raw"),
+            (F.col(f"`{attribute}`") if attribute else F.lit(None)).cast("string").alias("rm_raw"),
         )
 
-    cleaned = df.withColumns({c: clean_text(F.col(c)) for c in ids})
-    named = cleaned.where(F.col("location_name_raw").isNotNull()) if "location_name_raw" in ids else cleaned
-    return named.select(*ids, F.inline(F.array(*[cell(y) for y in years])))
+    named = df.withColumns({c: clean_text(F.col(c)) for c in ids})
+    if "location_name_raw" in ids:
+        named = named.where(F.col("location_name_raw").isNotNull())
+    long = named.select(*ids, F.inline(F.array(*[cell(y) for y in years])))
+    # Cells are cleaned after they are unfolded: one expression instead of one per year.
+    return long.withColumns({
+        "event_date_raw": normalize_mmdd(F.col("event_date_raw")),
+        "rm_raw": clean_text(F.col("rm_raw")),
+    })
 
 
 # Months of a forecast season and their year relative to the forecast.

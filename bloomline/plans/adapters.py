@@ -10,11 +10,11 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from bloomline.config import FIRST_BLOOM, FULL_BLOOM, MONTHS, PRECIP_VIEW, TEMP_VIEW
+from bloomline.config import FIRST_BLOOM, FULL_BLOOM, MODEL_VERSION, MONTHS, PRECIP_VIEW, TEMP_VIEW
 from bloomline.functions.codes import pad_location
 from bloomline.operators import forecast as fc, marts, model, staging
-from bloomline.operators.quality import union_all
 from bloomline.schemas import STATION_METADATA
+from bloomline.session import materialize
 from bloomline.sources import html as pages_of
 from bloomline.sources.contracts import conform
 
@@ -262,42 +262,39 @@ def bloom_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
-def baseline_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def baseline_scores(rows: DataFrame) -> DataFrame:
     """Held-out rows with the prediction of each baseline fitted on the other rows."""
-    rows = bloom_rows(spark, sf_dir)
     fitted = _fit_baselines(rows.where("split = 'train'"))
     return rows.where("split = 'test'").join(fitted, on="location_code")
 
 
-def baseline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def baseline_metrics(scores: DataFrame) -> DataFrame:
     """One metric row per baseline, ``cv_mae_days`` averaged over the folds."""
-    scores = baseline_scores(spark, sf_dir)
     folds = scores.groupBy("model_name", "fold").agg(
         F.avg(F.abs(F.col("prediction") - F.col("day_of_year"))).alias("fold_mae")
     ).groupBy("model_name").agg(F.avg("fold_mae").alias("cv_mae_days"))
     return model.regression_metrics(scores, by=["model_name"]).join(folds, on="model_name")
 
 
+def stored_bloom_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bloom_rows`` written once, since splits, fits and scores all start from it."""
+    return materialize(bloom_rows(spark, sf_dir), "bloom-rows")
+
+
 def baseline_forecast(spark: SparkSession, sf_dir: str, as_of: dt.date = AUTUMN_RUN) -> DataFrame:
     """Forecast fact of all baselines for the run date."""
-    ranked = sorted(
-        (r.asDict() for r in baseline_metrics(spark, sf_dir).collect()),
-        key=lambda r: (r["cv_mae_days"], r["model_name"]),
-    )
-    rows = bloom_rows(spark, sf_dir)
-    n = rows.count()
+    rows = stored_bloom_rows(spark, sf_dir)
+    scores = baseline_scores(rows)
+    models = materialize(
+        model.choose(baseline_metrics(scores)).withColumn("training_row_count", F.lit(rows.count())),
+        "baseline-models",
+    ).withColumn("model_version", F.lit(MODEL_VERSION))
     year = as_of.year + (as_of.month >= 6)
-    fitted = _fit_baselines(rows).withColumns({
+    predicted = _fit_baselines(rows).withColumns({
         "year": F.lit(year), "event_type": F.lit(FIRST_BLOOM), "using_climate_normals": F.lit(True),
     })
-    best = ranked[0]["model_name"]
+    best = models.where("is_best_model").select("model_name")
     station = model.metrics_per_group(
-        baseline_scores(spark, sf_dir).where(F.col("model_name") == best), ["location_code"]
+        scores.join(best, on="model_name", how="left_semi"), ["location_code"]
     )
-    return union_all([
-        fc.build_forecast(
-            fitted.where(F.col("model_name") == m["model_name"]), m["model_name"], m, n,
-            m["model_name"] == best, RUN_TIME, station if m["model_name"] == best else None,
-        )
-        for m in ranked
-    ])
+    return fc.build_forecast(predicted, models, RUN_TIME, station)

@@ -12,11 +12,12 @@ from bloomline.session import scratch_path
 
 
 def landing(spark: SparkSession, sf: str) -> jobs.Landing:
-    root = scratch_path(spark, "landing")
+    """Stored pages and files, as the fetchers would leave them."""
+    store = jobs.Warehouse(spark, scratch_path(spark, "landing"))
     return jobs.Landing(
-        a.climate_pages(spark, sf),
-        a.caption_pages(spark, sf),
-        {kind: a.land_wide_csv(spark, sf, f"{root}/{flag}", flag) for kind, flag in jobs.EVENT_FLAGS.items()},
+        store.rebuild("climate_pages", a.climate_pages(spark, sf)),
+        store.rebuild("caption_pages", a.caption_pages(spark, sf)),
+        {kind: a.land_wide_csv(spark, sf, store.path(flag), flag) for kind, flag in jobs.EVENT_FLAGS.items()},
     )
 
 

@@ -154,11 +154,15 @@ def _(spark, sf):
     return a.bloom_rows(spark, sf).select("location_code", "year", "event_type", "fold")
 
 
+def scores(spark, sf):
+    return a.baseline_scores(a.stored_bloom_rows(spark, sf))
+
+
 @query("regression_metrics", with_("model_metrics", """
 SELECT model_name, mae_days, rmse_days, r2_score, evaluation_row_count FROM model_metrics"""),
        doubles="mae_days rmse_days r2_score")
 def _(spark, sf):
-    return model.regression_metrics(a.baseline_scores(spark, sf), by=["model_name"])
+    return model.regression_metrics(scores(spark, sf), by=["model_name"])
 
 
 @query("metrics_per_group", with_("scores", """
@@ -167,14 +171,14 @@ SELECT model_name, location_code, avg(abs(prediction - day_of_year)) AS mae_days
        count(*) AS n_test_rows
 FROM scores GROUP BY model_name, location_code HAVING count(*) >= 2"""), doubles="mae_days rmse_days")
 def _(spark, sf):
-    return model.metrics_per_group(a.baseline_scores(spark, sf), ["model_name", "location_code"])
+    return model.metrics_per_group(scores(spark, sf), ["model_name", "location_code"])
 
 
 @query("champion_select", with_("ranked_models", """
 SELECT model_name, mae_days, rmse_days, r2_score, evaluation_row_count, cv_mae_days, is_best_model
 FROM ranked_models"""), doubles="mae_days rmse_days r2_score cv_mae_days")
 def _(spark, sf):
-    return model.choose(a.baseline_metrics(spark, sf))
+    return model.choose(a.baseline_metrics(scores(spark, sf)))
 
 
 @query("station_extremes", with_("station_mae", """
@@ -184,9 +188,10 @@ SELECT (SELECT location_code FROM station_mae ORDER BY station_mae, location_cod
        max(station_mae) AS worst_mae, count(*) AS stations
 FROM station_mae"""), doubles="best_mae worst_mae")
 def _(spark, sf):
-    best = model.choose(a.baseline_metrics(spark, sf)).where("is_best_model").select("model_name")
-    scores = a.baseline_scores(spark, sf).join(best, on="model_name", how="left_semi")
-    return model.station_extremes(model.metrics_per_group(scores, ["location_code"]))
+    scored = scores(spark, sf)
+    best = model.choose(a.baseline_metrics(scored)).where("is_best_model").select("model_name")
+    of_best = scored.join(best, on="model_name", how="left_semi")
+    return model.station_extremes(model.metrics_per_group(of_best, ["location_code"]))
 
 
 @query("forecast_fact", with_("forecast", """
@@ -216,9 +221,9 @@ def model_forecast(spark, sf, name):
     n = train.count()
     train.unpersist()
     upcoming = model.prediction_set(prediction(spark, sf, a.AUTUMN_RUN)).dropna(subset=FEATURES)
-    return fc.build_forecast(
-        model.with_prediction(fitted, upcoming), name, metrics, n, False, a.RUN_TIME
-    )
+    predicted = model.with_prediction(fitted, upcoming).withColumn("model_name", F.lit(name))
+    models = fc.model_rows(spark, [{"model_name": name, **metrics}], n)
+    return fc.build_forecast(predicted, models, a.RUN_TIME)
 
 
 @query("model_linear")

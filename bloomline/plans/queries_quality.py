@@ -11,10 +11,15 @@ from bloomline.plans.adapters import table
 from bloomline.plans.registry import query
 from bloomline.plans.sql import FORECAST_DOUBLES, two_digits, with_
 from bloomline.schemas import FORECAST, FORECAST_KEY
-from bloomline.session import scratch_path
+from bloomline.session import materialize, scratch_path
 from bloomline.sources import contracts, html, sinks
 
 
+def stored(table_of, spark, sf):
+    """A table several checks read, written first."""
+    return materialize(table_of(spark, sf), table_of.__name__)
+
+
 @query("dq_row_counts", with_("stg_climate stg_events dim_station dim_date forecast", """
 SELECT 'climate' AS table_name, count(*) AS row_count FROM stg_climate
 UNION ALL SELECT 'events', count(*) FROM stg_events
@@ -22,11 +27,12 @@ UNION ALL SELECT 'stations', count(*) FROM dim_station
 UNION ALL SELECT 'dates', count(*) FROM dim_date
 UNION ALL SELECT 'forecast', count(*) FROM forecast"""))
 def _(spark, sf):
+    climate, staged = stored(a.staged_climate, spark, sf), stored(a.staged_events, spark, sf)
     return quality.row_counts({
-        "climate": a.staged_climate(spark, sf),
-        "events": a.staged_events(spark, sf),
-        "stations": a.dim_station(spark, sf),
-        "dates": marts.dim_date(a.staged_events(spark, sf)),
+        "climate": climate,
+        "events": staged,
+        "stations": marts.dim_station(climate, a.metadata(spark, sf), a.STATION_BASE),
+        "dates": marts.dim_date(staged),
         "forecast": a.baseline_forecast(spark, sf),
     })
 
@@ -97,7 +103,7 @@ SELECT 'location_code', count(*)
 FROM fact_events f LEFT JOIN dim_location d ON f.location_code = d.location_code
 WHERE d.location_code IS NULL"""))
 def _(spark, sf):
-    staged = a.staged_events(spark, sf)
+    staged = stored(a.staged_events, spark, sf)
     fact = marts.fact_events(staged)
     dims = {"date_key": marts.dim_date(staged), "location_code": marts.dim_location(staged)}
     return quality.union_all([
@@ -185,7 +191,7 @@ UNION ALL
 SELECT 6, 'implausible forecast days', 'rows', CAST(count(*) AS DOUBLE), count(*) = 0
 FROM forecast WHERE predicted_day_of_year < 30 OR predicted_day_of_year > 160"""), doubles="value")
 def _(spark, sf):
-    staged, fact = a.staged_events(spark, sf), a.baseline_forecast(spark, sf)
+    staged, fact = stored(a.staged_events, spark, sf), stored(a.baseline_forecast, spark, sf)
     zero = lambda v: v == 0
     return quality.run_checks([
         quality.Check("forecast rows", fact.agg(F.count("*").alias("row_count")), lambda v: v > 0),
@@ -268,7 +274,7 @@ UNION ALL
 SELECT location_code, 2001, event_type, model_name, model_version, source_name FROM forecast"""))
 def _(spark, sf):
     path = scratch_path(spark, "forecast")
-    fact = a.baseline_forecast(spark, sf)
+    fact = stored(a.baseline_forecast, spark, sf)
     old = quality.union_all([
         fact.withColumn("source_name", F.lit("stale")),
         fact.withColumn("model_version", F.lit("v2")),

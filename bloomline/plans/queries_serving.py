@@ -10,6 +10,7 @@ from bloomline.operators import marts, reshape, serving
 from bloomline.plans import adapters as a
 from bloomline.plans.adapters import table
 from bloomline.plans.registry import query
+from bloomline.session import materialize
 from bloomline.plans.sql import day_label, pad, two_digits, with_
 
 W = a.WIDTH
@@ -33,10 +34,9 @@ SELECT f.station_code, s.station_name, m.date_key, f.mean_temp_c, f.precipitatio
 FROM fact_climate f LEFT JOIN dim_station s ON f.station_code = s.station_code
 LEFT JOIN dim_month m ON f.date_key = m.date_key"""), doubles="mean_temp_c precipitation_mm")
 def _(spark, sf):
-    staged = a.staged_climate(spark, sf)
-    return serving.climate_timeseries(
-        marts.fact_climate(staged), a.dim_station(spark, sf), marts.dim_month(staged)
-    )
+    staged = materialize(a.staged_climate(spark, sf), "staged-climate")
+    stations = marts.dim_station(staged, a.metadata(spark, sf), a.STATION_BASE)
+    return serving.climate_timeseries(marts.fact_climate(staged), stations, marts.dim_month(staged))
 
 
 @query("climate_kpis", with_("climate", f"""

@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
@@ -48,6 +48,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/bloomline/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame used several times to the shared folder and read it back.
+
+    The written table cuts the lineage, outlives lost executors, and gives the
+    planner its real size for the choice of later joins.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Iterative fits cut their lineage here."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -60,10 +59,8 @@ def read_wide_csv(
 
     def same_as(cells: list[str]) -> Column:
         padded = (cells + [""] * len(fields))[: len(fields)]
-        return reduce(
-            Column.__and__,
-            [F.coalesce(F.col(f), F.lit("")) == F.lit(c) for f, c in zip(fields, padded)],
-        )
+        row = F.array(*[F.coalesce(F.col(f), F.lit("")) for f in fields])
+        return row == F.array(*[F.lit(c) for c in padded])
 
     kept = body.where(~same_as(title) & ~same_as(header))
     return blank_to_null(drop_empty_columns(kept.toDF(*repair_header(header))))
