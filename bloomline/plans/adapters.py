@@ -10,7 +10,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from bloomline.config import FIRST_BLOOM, FULL_BLOOM, MODEL_VERSION, MONTHS, PRECIP_VIEW, TEMP_VIEW
+from bloomline.config import FIRST_BLOOM, FULL_BLOOM, MONTHS, PRECIP_VIEW, TEMP_VIEW
 from bloomline.functions.codes import pad_location
 from bloomline.operators import forecast as fc, marts, model, staging
 from bloomline.schemas import STATION_METADATA
@@ -285,16 +285,15 @@ def baseline_forecast(spark: SparkSession, sf_dir: str, as_of: dt.date = AUTUMN_
     """Forecast fact of all baselines for the run date."""
     rows = stored_bloom_rows(spark, sf_dir)
     scores = baseline_scores(rows)
-    models = materialize(
-        model.choose(baseline_metrics(scores)).withColumn("training_row_count", F.lit(rows.count())),
-        "baseline-models",
-    ).withColumn("model_version", F.lit(MODEL_VERSION))
+    ranked = sorted(
+        (r.asDict() for r in baseline_metrics(scores).collect()),
+        key=lambda r: (r["cv_mae_days"], r["model_name"]),
+    )
+    models = fc.model_rows(spark, ranked, rows.count())
     year = as_of.year + (as_of.month >= 6)
     predicted = _fit_baselines(rows).withColumns({
         "year": F.lit(year), "event_type": F.lit(FIRST_BLOOM), "using_climate_normals": F.lit(True),
     })
-    best = models.where("is_best_model").select("model_name")
-    station = model.metrics_per_group(
-        scores.join(best, on="model_name", how="left_semi"), ["location_code"]
-    )
+    of_best = scores.where(F.col("model_name") == ranked[0]["model_name"])
+    station = model.metrics_per_group(of_best, ["location_code"])
     return fc.build_forecast(predicted, models, RUN_TIME, station)

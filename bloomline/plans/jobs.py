@@ -18,6 +18,7 @@ from bloomline.config import (
 from bloomline.functions.text import rename_aliases
 from bloomline.operators import features, forecast as fc, marts, model, quality, reshape, staging
 from bloomline.schemas import FORECAST, FORECAST_KEY, RAW_CLIMATE, RAW_EVENTS, STATION_METADATA
+from bloomline.session import materialize
 from bloomline.sources import html, sinks, wide_csv
 from bloomline.sources.contracts import conform, verify
 
@@ -58,8 +59,12 @@ class Landing:
 
 
 def parse_climate(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Monthly measures of all readable pages, and the pages that failed."""
-    good, failed = html.split_good_reject(html.html_table_columns(pages.drop("source_url")))
+    """Monthly measures of all readable pages, and the pages that failed.
+
+    The parsed rows are written once; both measures and the failures read them.
+    """
+    parsed = materialize(html.html_table_columns(pages.drop("source_url")), "parsed-pages")
+    good, failed = html.split_good_reject(parsed)
     keys = ["station_code", "station_name"]
     measure = lambda view, name: reshape.unpivot_months(good.where(F.col("view") == view), keys, name)
     joined = staging.join_measures(

@@ -6,10 +6,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from bloomline.config import PRECIP_VIEW, TEMP_VIEW
+from bloomline.config import TEMP_VIEW
 from bloomline.functions import codes, dates, labels, text
 from bloomline.operators import quality, reshape, staging
-from bloomline.plans import adapters as a
+from bloomline.plans import adapters as a, jobs
 from bloomline.plans.adapters import table
 from bloomline.plans.registry import query
 from bloomline.plans.sql import wide_event_rows, with_
@@ -292,23 +292,13 @@ def _(spark, sf):
     return long.where(F.col("mean_temp_c").isNotNull())
 
 
-def parsed_measures(spark, sf):
-    """Climate out of the station pages: both tables parsed, unpivoted and joined."""
-    pages = a.climate_pages(spark, sf).drop("source_url")
-    good, _ = html.split_good_reject(html.html_table_columns(pages))
-    keys = ["station_code", "station_name"]
-    part = lambda view, name: reshape.unpivot_months(
-        good.where(F.col("view") == view), keys, name
-    ).where(F.col(name).isNotNull())
-    return staging.join_measures(part(TEMP_VIEW, "mean_temp_c"), part(PRECIP_VIEW, "precipitation_mm"))
-
-
 @query("join_full_outer", with_("wide_values", f"""
 SELECT CAST({a.STATION_BASE} + l_suppkey AS VARCHAR) AS station_code, 'Station ' || l_suppkey AS station_name,
        year, month, mean_temp_c, precipitation_mm
 FROM wide_values"""), doubles="mean_temp_c precipitation_mm")
 def _(spark, sf):
-    return parsed_measures(spark, sf)
+    measures, _ = jobs.parse_climate(a.climate_pages(spark, sf))
+    return measures.where(F.coalesce("mean_temp_c", "precipitation_mm").isNotNull())
 
 
 @query("html_table_rows", f"""

@@ -7,6 +7,7 @@ carry a ``parse_error`` instead of stopping the job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -27,36 +28,58 @@ CAPTION = r'(?is)<caption\b[^>]*\bclass="m"[^>]*>(.*?)</caption>'
 
 def plain_text(html: Column) -> Column:
     """Visible text of a fragment, whitespace collapsed."""
-    bare = F.regexp_replace(html, r"<[^>]*>", " ")
+    bare = F.when(html.contains("<"), F.regexp_replace(html, r"<[^>]*>", " ")).otherwise(html)
     named = reduce(
         lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES.items(), bare
     )
-    return normalize_whitespace(named)
+    return normalize_whitespace(F.when(html.contains("&"), named).otherwise(bare))
 
 
 def _all(text: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
-def _table_rows(tables: Column, index: int) -> Column:
-    return F.transform(
-        _all(F.try_element_at(tables, F.lit(index + 1)), ROW),
-        lambda r: F.transform(_all(r, CELL), plain_text),
-    )
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed a single time per row."""
+    return F.try_element_at(F.transform(F.array(value), use), F.lit(1))
+
+
+def _cells(row: Column) -> Column:
+    return F.transform(_all(row, CELL), plain_text)
 
 
-def _too_few(found: Column, index: int) -> Column:
+def _too_few(tables: Column, index: int) -> Column:
+    found = F.size(tables)
     text = F.concat(F.lit(f"expected at least {index + 1} tables, got "), found.cast("string"))
     return F.when(found <= index, text)
 
 
+def _no_error() -> Column:
+    return F.lit(None).cast("string")
+
+
+def _no_cells() -> Column:
+    return F.lit(None).cast("array<string>")
+
+
 def html_table_rows(pages: DataFrame, html_col: str = "html", table_index: int = 1) -> DataFrame:
     """One row per table row: ``row_no`` and its ``cells``; short pages keep one error row."""
     keep = [c for c in pages.columns if c != html_col]
-    tables = _all(F.col(html_col), TABLE)
-    rows = _table_rows(tables, table_index)
-    error = _too_few(F.size(tables), table_index)
-    return pages.select(*keep, error.alias("parse_error"), F.posexplode_outer(rows).alias("row_no", "cells"))
+
+    def entry(error: Column, row_no: Column, cells: Column) -> Column:
+        return F.struct(
+            error.alias("parse_error"), row_no.cast("int").alias("row_no"), cells.alias("cells")
+        )
+
+    def rows(tables: Column) -> Column:
+        error = _too_few(tables, table_index)
+        listed = F.transform(
+            _all(F.try_element_at(tables, F.lit(table_index + 1)), ROW),
+            lambda r, i: entry(_no_error(), i, _cells(r)),
+        )
+        return F.when(error.isNotNull(), F.array(entry(error, F.lit(None), _no_cells()))).otherwise(listed)
+
+    return pages.select(*keep, F.inline(_once(_all(F.col(html_col), TABLE), rows)))
 
 
 def html_table_columns(
@@ -65,37 +88,43 @@ def html_table_columns(
     columns: list[str] | None = None,
     table_index: int = 1,
 ) -> DataFrame:
-    """Table body with its header row's names as string columns.
+    """Table body under its header's names, one string column for each of ``columns``.
 
-    Only ``columns`` are kept; a page without one of them becomes an error row.
+    A page with too few tables or without one of the columns becomes an error row.
+    The error comes out of the same generator as the cells, so a filter on it
+    never repeats the parsing.
     """
     columns = columns or ["Year", *MONTHS]
     keep = [c for c in pages.columns if c != html_col]
-    tables = _all(F.col(html_col), TABLE)
-    rows = _table_rows(tables, table_index)
     wanted = F.array(*[F.lit(c) for c in columns])
-    missing = F.array_except(wanted, F.coalesce(F.col("_header"), F.array().cast("array<string>")))
-    error = F.coalesce(
-        _too_few(F.col("_found"), table_index),
-        F.when(F.size(missing) > 0, F.concat(F.lit("missing columns: "), F.array_join(missing, ", "))),
-    )
-    parsed = (
-        pages.select(*keep, F.size(tables).alias("_found"), rows.alias("_rows"))
-        .withColumn("_header", F.try_element_at("_rows", F.lit(1)))
-        .withColumn("parse_error", error)
-        .withColumn(
-            "_body",
-            F.when(F.col("parse_error").isNull(), F.slice("_rows", 2, F.greatest(F.size("_rows"), F.lit(1)))),
+
+    def entry(error: Column, cells: Column) -> Column:
+        return F.struct(error.alias("parse_error"), cells.alias("_cells"))
+
+    def body(rows: Column) -> Column:
+        header = F.coalesce(F.try_element_at(rows, F.lit(1)), F.array().cast("array<string>"))
+        missing = F.array_except(wanted, header)
+        error = F.when(
+            F.size(missing) > 0, F.concat(F.lit("missing columns: "), F.array_join(missing, ", "))
         )
+        aligned = lambda r: F.transform(
+            wanted, lambda name: F.try_element_at(r, F.array_position(header, name).cast("int"))
+        )
+        lines = F.transform(
+            F.slice(rows, 2, F.greatest(F.size(rows), F.lit(1))), lambda r: entry(_no_error(), aligned(r))
+        )
+        return F.when(error.isNotNull(), F.array(entry(error, _no_cells()))).otherwise(lines)
+
+    def page(tables: Column) -> Column:
+        error = _too_few(tables, table_index)
+        rows = F.transform(_all(F.try_element_at(tables, F.lit(table_index + 1)), ROW), _cells)
+        return F.when(error.isNotNull(), F.array(entry(error, _no_cells()))).otherwise(_once(rows, body))
+
+    parsed = pages.select(*keep, F.inline(_once(_all(F.col(html_col), TABLE), page)))
+    return parsed.select(
+        *keep, "parse_error",
+        *[F.try_element_at("_cells", F.lit(i)).alias(c) for i, c in enumerate(columns, 1)],
     )
-    body = parsed.select(*keep, "parse_error", "_header", F.explode_outer("_body").alias("_cells"))
-    at = lambda name: F.array_position("_header", F.lit(name)).cast("int")
-    return body.select(
-        *keep,
-        "parse_error",
-        *[F.when(F.col("_header").isNotNull() & (at(c) > 0), F.try_element_at("_cells", at(c))).alias(c)
-          for c in columns],
-    ).where(F.col("parse_error").isNotNull() | F.col(columns[0]).isNotNull())
 
 
 def html_option_list(
@@ -121,7 +150,7 @@ def html_option_list(
         label = F.regexp_replace(text, f"(?s)(?:{cut}).*", "") if cut else text
         return F.struct(plain_text(label).alias("name"), F.trim(code).alias("code"))
 
-    items = F.zip_with(_all(area, item, 1), _all(area, item, 2), entry)
+    items = _once(area, lambda text: F.zip_with(_all(text, item, 1), _all(text, item, 2), entry))
     wanted = F.filter(
         items,
         lambda i: (i["code"] != "") & ~i["code"].isin(deny_codes or [""])
