@@ -158,21 +158,24 @@ def dim_station(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Year rows with annotated month cells, both measures: ``t_Jan`` .. ``p_Dec``."""
-    sums, counts = {}, {}
-    for i, name in enumerate(MONTHS, 1):
-        inside = F.month("l_shipdate") == i
-        sums[f"t_{name}"] = F.sum(F.when(inside, F.col("l_quantity"))).cast("long").cast("string")
-        counts[f"p_{name}"] = F.nullif(F.count_if(inside), F.lit(0).cast("long")).cast("string")
-    wide = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", F.year("l_shipdate").alias("Year")).agg(
-        *[F.concat(c, F.lit(".5 ]")).alias(n) for n, c in sums.items()],
-        *[F.concat(c, F.lit(".0)　")).alias(n) for n, c in counts.items()],
-    )
+    """Year rows with annotated month cells, both measures: ``t_Jan`` .. ``p_Dec``.
+
+    Shipments fold to months before the months become columns.
+    """
+    monthly = table(spark, sf_dir, "lineitem").groupBy(
+        "l_suppkey", F.year("l_shipdate").alias("Year"), F.month("l_shipdate").alias("month")
+    ).agg(F.sum("l_quantity").cast("long").alias("t"), F.count("*").alias("p"))
+    cells = [
+        F.max(F.when(F.col("month") == i, F.col(measure))).alias(f"{measure}_{name}")
+        for measure in ("t", "p") for i, name in enumerate(MONTHS, 1)
+    ]
+    wide = monthly.groupBy("l_suppkey", "Year").agg(*cells)
+    noted = lambda name: F.concat(F.col(name).cast("string"), F.lit(".5 ]" if name[0] == "t" else ".0)　"))
     return wide.select(
         station_code(F.col("l_suppkey")).alias("station_code"),
         F.concat(F.lit("Station "), F.col("l_suppkey").cast("string")).alias("station_name"),
         F.col("Year").cast("string").alias("Year"),
-        *sums, *counts,
+        *[noted(n).alias(n) for n in wide.columns[2:]],
     )
 
 
@@ -215,18 +218,20 @@ def climate_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wide_events(spark: SparkSession, sf_dir: str, flag: str = "R") -> DataFrame:
     """One row per station, ``<year>`` and ``<year>rm`` columns, dates as ``MDD.0``."""
-    picked = F.col("l_returnflag") == flag
-    cells = []
-    for y in WIDE_YEARS:
-        inside = picked & (F.year("l_shipdate") == y)
-        day = F.to_date(F.min(F.when(inside, F.col("l_shipdate"))))
-        text = F.concat((F.month(day) * 100 + F.dayofmonth(day)).cast("string"), F.lit(".0"))
-        cells += [text.alias(str(y)), F.nullif(F.count_if(inside).cast("string"), F.lit("0")).alias(f"{y}rm")]
-    wide = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(*cells)
+    day = F.col("date_key")
+    yearly = _first_shipments(spark, sf_dir, [flag]).select(
+        "l_suppkey", "year", "n", (F.month(day) * 100 + F.dayofmonth(day)).alias("mdd")
+    )
+    inside = lambda y, c: F.max(F.when(F.col("year") == y, F.col(c)))
+    cells = [x for y in WIDE_YEARS for x in (inside(y, "mdd").alias(str(y)), inside(y, "n").alias(f"{y}rm"))]
+    wide = yearly.groupBy("l_suppkey").agg(*cells)
     return wide.select(
         F.col("l_suppkey").cast("string").alias("番号"),
         F.concat(F.lit("Station "), F.col("l_suppkey").cast("string")).alias("地点名"),
-        *wide.columns[1:],
+        *[
+            (F.col(n).cast("string") if n.endswith("rm") else F.concat(F.col(n).cast("string"), F.lit(".0"))).alias(n)
+            for n in wide.columns[1:]
+        ],
     )
 
 
