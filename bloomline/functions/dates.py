@@ -14,6 +14,11 @@ def as_column(as_of: dt.date | Column | None) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(as_of)
 
 
+def timestamp(ts: dt.datetime | Column) -> Column:
+    """Wall-clock literal, free of any session time zone."""
+    return ts if isinstance(ts, Column) else F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def season(month: Column) -> Column:
     """Season name of a month number, NULL outside 1..12."""
     return (

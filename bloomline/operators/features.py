@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from bloomline.config import BASELINE_YEARS, FIRST_BLOOM, LOCATION_WIDTH, REQUIRED_FEATURES
 from bloomline.functions.codes import location_code, pad_location
@@ -88,33 +88,45 @@ def with_normals(cells: DataFrame, first: int, last: int) -> DataFrame:
     A window partition is one location and month, so at most one cell per
     calendar year; the fact is read once and nothing is joined.
     """
-    same_month = Window.partitionBy("location_code", "month")
-    inside = lambda c: F.sum(F.when(F.col("year").between(first, last), F.col(c))).over(same_month)
-    return cells.withColumns({
-        "avg_temp": F.try_divide(inside("temp_sum"), inside("temp_n")),
-        "avg_precip": F.try_divide(inside("precip_sum"), inside("precip_n")),
-    })
+    def inside(c: str) -> str:
+        baseline = f"CASE WHEN year BETWEEN {first} AND {last} THEN {c} END"
+        return f"sum({baseline}) OVER (PARTITION BY location_code, month)"
+
+    return cells.select(
+        "*",
+        F.expr(f"try_divide({inside('temp_sum')}, {inside('temp_n')}) AS avg_temp"),
+        F.expr(f"try_divide({inside('precip_sum')}, {inside('precip_n')}) AS avg_precip"),
+    )
 
 
-def _filled(measure: str, normal: str) -> tuple[Column, Column]:
+def filled(measure: str, normal: str, sum_as: str, count_as: str) -> list[Column]:
     """Sum and count of a cell once its missing values take the normal."""
-    gaps = F.col("n") - F.col(f"{measure}_n")
-    usable = F.when(F.col(normal).isNull(), 0).otherwise(gaps)
-    total = F.coalesce(f"{measure}_sum", F.lit(0.0)) + usable * F.coalesce(normal, F.lit(0.0))
-    return total, F.col(f"{measure}_n") + usable
+    usable = f"CASE WHEN {normal} IS NULL THEN 0 ELSE n - {measure}_n END"
+    return [
+        F.expr(f"coalesce({measure}_sum, 0D) + {usable} * coalesce({normal}, 0D) AS {sum_as}"),
+        F.expr(f"{measure}_n + {usable} AS {count_as}"),
+    ]
+
+
+def filled_cells() -> list[Column]:
+    return filled("temp", "avg_temp", "t_sum", "t_n") + filled("precip", "avg_precip", "p_sum", "p_n")
+
+
+def season_aggregates() -> list[Column]:
+    """The seven features over the filled cells (t_sum, t_n, p_sum, p_n) of one season."""
+    def over(months: list[int], c: str) -> str:
+        return f"sum({c}) FILTER (WHERE month IN ({', '.join(map(str, months))}))"
 
+    def total(months: list[int], m: str) -> str:
+        return f"CASE WHEN {over(months, m + '_n')} > 0 THEN {over(months, m + '_sum')} END"
 
-def _season_features() -> list[Column]:
-    """The seven features over filled cells (t_sum, t_n, p_sum, p_n) of one season."""
-    over = lambda months, c: F.sum(F.when(F.col("month").isin(months), F.col(c)))
-    total = lambda months, m: F.when(over(months, f"{m}_n") > 0, over(months, f"{m}_sum"))
     means = [
-        F.try_divide(over(months, "t_sum"), over(months, "t_n")).alias(name)
+        F.expr(f"try_divide({over(months, 't_sum')}, {over(months, 't_n')}) AS {name}")
         for name, months in TEMPERATURE_MEANS.items()
     ]
     return means + [
-        total(EARLY_YEAR, "t").alias("january_march_cumulative_temp"),
-        total(WINTER, "p").alias("winter_precipitation_mm"),
+        F.expr(f"{total(EARLY_YEAR, 't')} AS january_march_cumulative_temp"),
+        F.expr(f"{total(WINTER, 'p')} AS winter_precipitation_mm"),
     ]
 
 
@@ -125,14 +137,13 @@ def season_features(
 ) -> DataFrame:
     """Features of every (location, target year) the climate covers."""
     cells = with_normals(month_cells(climate, width), *baseline)
-    (t_sum, t_n), (p_sum, p_n) = _filled("temp", "avg_temp"), _filled("precip", "avg_precip")
-    filled = cells.select(
+    seasons = cells.select(
         "location_code",
-        (F.col("year") + F.when(F.col("month") >= 9, 1).otherwise(0)).alias("year"),
+        F.expr("year + CASE WHEN month >= 9 THEN 1 ELSE 0 END AS year"),
         "month",
-        t_sum.alias("t_sum"), t_n.alias("t_n"), p_sum.alias("p_sum"), p_n.alias("p_n"),
+        *filled_cells(),
     )
-    return filled.groupBy("location_code", "year").agg(*_season_features())
+    return seasons.groupBy("location_code", "year").agg(*season_aggregates())
 
 
 def training_features(
@@ -210,14 +221,12 @@ def prediction_features(
         "temp_n": F.coalesce("temp_n", F.lit(0)),
         "precip_n": F.coalesce("precip_n", F.lit(0)),
     })
-    (t_sum, t_n), (p_sum, p_n) = _filled("temp", "avg_temp"), _filled("precip", "avg_precip")
-    filled = present.select(
-        "location_code", "forecast_year", "month",
-        t_sum.alias("t_sum"), t_n.alias("t_n"), p_sum.alias("p_sum"), p_n.alias("p_n"),
-        (F.col("temp_n") < F.col("n")).alias("is_estimated"),
+    seasons = present.select(
+        "location_code", "forecast_year", "month", *filled_cells(),
+        F.expr("temp_n < n AS is_estimated"),
     )
     return (
-        filled.groupBy("location_code", F.col("forecast_year").alias("year"))
-        .agg(*_season_features(), F.bool_or("is_estimated").alias("using_climate_normals"))
+        seasons.groupBy("location_code", F.col("forecast_year").alias("year"))
+        .agg(*season_aggregates(), F.bool_or("is_estimated").alias("using_climate_normals"))
         .withColumn("event_type", F.lit(event_type))
     )

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bloomline.config import CANDIDATE_MODELS, FEATURES, MODEL_VERSION
-from bloomline.functions.dates import doy_to_date, predicted_doy
+from bloomline.functions.dates import doy_to_date, predicted_doy, timestamp
 from bloomline.functions.labels import prediction_status
 from bloomline.operators.model import fit_final_model, validate_features, with_prediction
 from bloomline.operators.quality import union_all
@@ -64,7 +64,7 @@ def build_forecast(
         station = F.when(F.col("is_best_model"), F.col("_station_mae"))
     return conform(
         rows.withColumns({
-            "trained_at": F.lit(trained_at).cast("timestamp_ntz"),
+            "trained_at": timestamp(trained_at),
             "station_mae_days": F.coalesce(station, "mae_days"),
             "source_name": F.concat(F.lit("model_"), "model_name"),
         }),

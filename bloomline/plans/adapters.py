@@ -7,11 +7,13 @@ Every frame is an aggregate with map-side combine over whole tables.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bloomline.config import FIRST_BLOOM, FULL_BLOOM, MONTHS, PRECIP_VIEW, TEMP_VIEW
 from bloomline.functions.codes import pad_location
+from bloomline.functions.dates import timestamp
 from bloomline.operators import forecast as fc, marts, model, staging
 from bloomline.schemas import STATION_METADATA
 from bloomline.session import materialize
@@ -26,7 +28,9 @@ WIDE_YEARS = range(1990, 2006)
 PAGE_URL = "https://weather.example/monthly?station="
 
 
+@functools.cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A source table; file listing and schema are looked up once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -99,7 +103,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events as text; flag N gives a second, unreadable full-bloom row."""
     flag, day = F.col("l_returnflag"), F.col("date_key")
     return _first_shipments(spark, sf_dir, ["R", "A", "N"]).select(
-        F.lit(RUN_TIME).cast("timestamp_ntz").alias("raw_ingested_at"),
+        timestamp(RUN_TIME).alias("raw_ingested_at"),
         F.lit("shipments").alias("source_name"),
         F.concat(F.lit(PAGE_URL), F.col("l_suppkey").cast("string")).alias("source_url"),
         F.col("l_suppkey").cast("string").alias("station_code_raw"),
@@ -149,7 +153,7 @@ def caption_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     located = pages_of.caption_coordinates(caption_pages(spark, sf_dir))
     return conform(
-        located.withColumn("metadata_ingested_at", F.lit(RUN_TIME).cast("timestamp_ntz")), STATION_METADATA
+        located.withColumn("metadata_ingested_at", timestamp(RUN_TIME)), STATION_METADATA
     )
 
 

@@ -15,6 +15,7 @@ from bloomline.config import (
     CANDIDATE_MODELS, FIRST_BLOOM, FULL_BLOOM, LOCATION_WIDTH, MODEL_VERSION, PLAUSIBLE_DOY,
     PRECIP_VIEW, STATION_BASE, TEMP_VIEW,
 )
+from bloomline.functions.dates import timestamp
 from bloomline.functions.text import rename_aliases
 from bloomline.operators import features, forecast as fc, marts, model, quality, reshape, staging
 from bloomline.schemas import FORECAST, FORECAST_KEY, RAW_CLIMATE, RAW_EVENTS, STATION_METADATA
@@ -75,7 +76,7 @@ def parse_climate(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def run_raw(wh: Warehouse, landing: Landing, run_ts: dt.datetime, source_name: str) -> DataFrame:
     """Parse the landed files into the raw tables; returns the load summary."""
-    stamp = F.lit(run_ts).cast("timestamp_ntz")
+    stamp = timestamp(run_ts)
     measures, failed = parse_climate(landing.climate_pages)
     urls = landing.climate_pages.where(F.col("view") == TEMP_VIEW).select("station_code", "source_url")
     climate = measures.join(urls, on="station_code", how="left").withColumn("raw_ingested_at", stamp)
@@ -98,7 +99,7 @@ def run_staging(wh: Warehouse, caption_pages: DataFrame, run_ts: dt.datetime) ->
     wh.rebuild("staging/events", staging.stage_events(wh.read("raw/events")))
     wanted = staging.station_driver_list(climate).select("station_code").distinct()
     located = html.caption_coordinates(caption_pages.join(wanted, on="station_code", how="left_semi"))
-    stamped = located.withColumn("metadata_ingested_at", F.lit(run_ts).cast("timestamp_ntz"))
+    stamped = located.withColumn("metadata_ingested_at", timestamp(run_ts))
     table = wh.rebuild("staging/metadata", conform(stamped, STATION_METADATA))
     verify(html.require_rows(table, "station metadata"), STATION_METADATA)
 

@@ -157,7 +157,7 @@ def _(spark, sf):
     return text.add_lineage(
         table(spark, sf, "orders").select("o_orderkey"),
         source_name="orders", data_status="observed",
-        raw_ingested_at=F.lit(a.RUN_TIME).cast("timestamp_ntz"),
+        raw_ingested_at=dates.timestamp(a.RUN_TIME),
     )
 
 

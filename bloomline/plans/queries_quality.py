@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bloomline.config import PLAUSIBLE_DOY
+from bloomline.functions.dates import timestamp
 from bloomline.operators import marts, quality
 from bloomline.plans import adapters as a
 from bloomline.plans.adapters import table
@@ -301,6 +302,6 @@ def _(spark, sf):
         "location_code", F.col("year").cast("string").alias("forecast_year"), "event_type",
         F.col("day_of_year").alias("predicted_day_of_year"), F.col("date_key").alias("predicted_event_date"),
         F.lit("observed").alias("model_name"), F.lit("v0").alias("model_version"),
-        F.lit(a.RUN_TIME).alias("trained_at"), F.lit("predicted").alias("prediction_status"), "source_name",
+        timestamp(a.RUN_TIME).alias("trained_at"), F.lit("predicted").alias("prediction_status"), "source_name",
     )
     return contracts.verify(contracts.conform(e, FORECAST), FORECAST)

@@ -170,14 +170,17 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 def caption_coordinates(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Latitude and longitude of the page caption; none found: NULL."""
     keep = [c for c in pages.columns if c != html_col]
-    caption = plain_text(F.regexp_extract(F.col(html_col), CAPTION, 1))
     part = r"\s+(\d+\s*o\s*\d+(?:\.\d+)?'\s*[%s])"
-    lat = F.regexp_extract(F.col("_caption"), "Lat" + part % "NS", 1)
-    lon = F.regexp_extract(F.col("_caption"), "Lon" + part % "EW", 1)
-    return pages.select(*keep, caption.alias("_caption")).select(
-        *keep,
-        parse_coordinate(lat).alias("latitude"),
-        parse_coordinate(lon).alias("longitude"),
+
+    def located(text: Column) -> Column:
+        return F.struct(
+            parse_coordinate(F.regexp_extract(text, "Lat" + part % "NS", 1)).alias("latitude"),
+            parse_coordinate(F.regexp_extract(text, "Lon" + part % "EW", 1)).alias("longitude"),
+        )
+
+    text = _once(F.regexp_extract(F.col(html_col), CAPTION, 1), plain_text)
+    return pages.select(*keep, _once(text, located).alias("_at")).select(
+        *keep, "_at.latitude", "_at.longitude"
     )
 
 
