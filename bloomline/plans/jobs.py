@@ -166,7 +166,8 @@ def run_forecast(
         rows = fc.build_all(
             train, upcoming, selection, run_ts, station, candidates, {name: final}, model_version
         )
-        sinks.write_forecast(wh.spark, verify(rows, FORECAST), wh.path("marts/forecast"))
+        scored = materialize(rows, "forecast-rows")
+        sinks.write_forecast(wh.spark, verify(scored, FORECAST), wh.path("marts/forecast"))
         return selection
     finally:
         train.unpersist()
