@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bloomline.llm import (
-    decontamination, licenses, packing, quality_classifier, quality_rules, simhash, token_counts, url_filters,
+    decontamination, licenses, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_counts,
+    url_filters,
 )
 from bloomline.llm.shipping import ship
 
@@ -96,6 +97,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"), url_rules(spark))
 
 
+@query("op8_substring_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "end", "n_words", "source_id", "class_id")
+
+
 @query("op9_best_fit_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
