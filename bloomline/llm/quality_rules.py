@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from bloomline.session import materialize
+
 BLANK = r"[\x20\x09-\x0D]"
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -11,11 +13,6 @@ SYMBOLS = "#*$%&|<>"
 SYMBOL_RUNS = r"\p{L}+|\p{N}+|[^\p{L}\p{N}\x20\x09-\x0D]+"
 
 
-def words_of(text: str | Column) -> Column:
-    """Runs of characters outside 0x20 and 0x09-0x0D; null has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), BLANK), lambda w: w != "")
-
-
 def repeated_words(words: Column) -> Column:
     """Words inside 3-word windows that occur twice or more in the text, all occurrences included.
 
@@ -49,13 +46,14 @@ def base_rules(docs: DataFrame, key: str, text: str) -> DataFrame:
     body = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda s: F.trim(s, F.lit(BLANKS)) != "")
     out = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    out = out.withColumn("words", words_of("text")).withColumn("lines", lines)
+    out = out.withColumn("parts", F.split(body, BLANK)).withColumn("words", F.filter("parts", lambda w: w != "")).withColumn("lines", lines)
     bare = body
     for s in SYMBOLS:
         bare = F.replace(bare, F.lit(s), F.lit(""))
     out = out.select(
         "key", "text", F.size("words").cast("long").alias("n_words"),
-        F.length(F.translate(body, BLANKS, "")).cast("long").alias("word_chars"),
+        # Between neighbouring parts lies one blank.
+        (F.length(body) - F.size("parts") + 1).cast("long").alias("word_chars"),
         (F.length(body) - F.length(bare)).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"))
@@ -75,7 +73,7 @@ def hashed_ngrams(text: str | Column, bits: int) -> Column:
 def ratio_weights(docs: DataFrame, trusted: Column, text: str, bits: int, smoothing: float = 1.0) -> DataFrame:
     """Per bucket, the log ratio of its smoothed shares in trusted texts and in all texts: at most 2^bits rows."""
     grams = docs.select(trusted.cast("int").alias("trusted"), F.explode(hashed_ngrams(F.col(text), bits)).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target"))
+    counts = materialize(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target")), "buckets")
     totals = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
     size = float(1 << bits)
     share = lambda c, total: (F.col(c) + smoothing) / F.lit((total or 0) + smoothing * size)
