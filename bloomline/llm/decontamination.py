@@ -220,6 +220,19 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, slop
                       names("items").alias("items"), names("near_items").alias("near_items"), (n_hit > 0).alias("contaminated"))
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without a benchmark window, all columns kept.
+
+    Rows are told apart by key and text, so that one text's hit doesn't remove
+    another row of the same key. Documents without a key are judged by text alone.
+    """
+    named = docs.select(F.struct(F.col(key).alias("key"), F.xxhash64(F.col(text).cast("string")).alias("hash")).alias("row"),
+                        F.col(text).alias("text"))
+    found = benchmark_hits(named, benchmark, window, key="row", text="text").where("contaminated").select(
+        F.col("row.key").alias("_key"), F.col("row.hash").alias("_hash")).distinct()
+    return docs.join(found, docs[key].eqNullSafe(found["_key"]) & (F.xxhash64(docs[text].cast("string")) == found["_hash"]), "left_anti")
+
+
 def items_digest(items):
     """SHA-256 of the item ids, sorted as strings and joined by commas."""
     return F.sha2(F.array_join(F.array_sort(items), ",").cast("binary"), 256)
