@@ -24,12 +24,14 @@ SALTS = np.arange(1, 17, dtype=np.uint64) * STEP
 @dataclass(frozen=True)
 class Settings:
     """Sizes of the model; ``head`` bytes of a token are predicted by one model of all tokens, the rest by its shard's."""
+    topics: int = 8
+    turns: int = 5
     head: int = 4
     head_bits: int = 18
-    tail_bits: int = 20
+    tail_bits: int = 21
     head_orders: tuple[int, ...] = (1, 2)
     tail_orders: tuple[int, ...] = (1, 2, 3, 4, 6)
-    rate: float = 0.05
+    rate: float = 0.02
     step: int = 256
     chunk: int = 1 << 13
     doubt: float = 0.05
@@ -39,6 +41,88 @@ def squash(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -18, 18)))
 
 
+#: Byte classes of the frequency vectors: each letter, digits, other ASCII, and 32 classes of the other bytes.
+CLASSES = np.array([b - 97 if 97 <= b <= 122 else b - 65 if 65 <= b <= 90 else 26 if 48 <= b <= 57 else 28 + b % 32 if b >= 128 else 27
+                    for b in range(256)])
+WIDTH = 60
+
+
+def _frequencies(docs: DataFrame) -> DataFrame:
+    """Shares of the byte classes in each training text, as one packed row per slice."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in ragged.slices(batches, "text"):
+            data, offsets = ragged.raw_bytes(ragged.texts(batch, "text"))
+            keep = ~BLANK[data]
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))[keep]
+            counts = np.bincount(owner * WIDTH + CLASSES[data[keep]], minlength=batch.num_rows * WIDTH).reshape(-1, WIDTH).astype(np.float64)
+            shares = counts / np.maximum(1, counts.sum(axis=1, keepdims=True))
+            yield pa.RecordBatch.from_arrays([pa.array([shares[counts.sum(axis=1) > 0].astype("<f4").tobytes()], pa.binary())], names=["shares"])
+
+    return docs.where("train").select("text").mapInArrow(emit, "shares binary")
+
+
+BLANK = np.zeros(256, dtype=bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def _summed(frame: DataFrame, fn, size: int) -> np.ndarray:
+    """Sum over all slices of ``fn(shares)``, an array of ``size`` numbers, which is also all that the driver gets."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                total += fn(np.frombuffer(x, "<f4").reshape(-1, WIDTH).astype(np.float64))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], names=["at", "n"])
+
+    out = np.zeros(size)
+    for r in frame.mapInArrow(emit, "at long, n double").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        out[r["at"]] = r["n"]
+    # Sums of doubles depend on their order: rounding makes reruns agree.
+    return np.round(out, 6)
+
+
+def topic_centres(docs: DataFrame, settings: Settings) -> np.ndarray:
+    """Centres of the training texts' byte frequencies: k-means from the cells of the leading principal components."""
+    frame = materialize(_frequencies(docs), "frequencies")
+    moments = _summed(frame, lambda x: np.concatenate([[len(x)], x.sum(axis=0), (x.T @ x).ravel()]), 1 + WIDTH + WIDTH * WIDTH)
+    count, mean = max(1.0, moments[0]), moments[1:1 + WIDTH] / max(1.0, moments[0])
+    spread = moments[1 + WIDTH:].reshape(WIDTH, WIDTH) / count - np.outer(mean, mean)
+    axes = np.linalg.eigh(spread)[1][:, ::-1][:, :int(np.log2(settings.topics))]
+
+    def centres(assign) -> np.ndarray:
+        sums = _summed(frame, lambda x: np.concatenate([
+            np.bincount(assign(x), minlength=settings.topics),
+            np.stack([np.bincount(assign(x), weights=x[:, i], minlength=settings.topics) for i in range(WIDTH)], axis=1).ravel()]),
+            settings.topics * (1 + WIDTH))
+        sizes, total = sums[:settings.topics], sums[settings.topics:].reshape(settings.topics, WIDTH)
+        return np.where(sizes[:, None] > 0, total / np.maximum(1, sizes)[:, None], mean)
+
+    found = centres(lambda x: ((x - mean) @ axes > 0) @ (1 << np.arange(axes.shape[1])))
+    for _ in range(settings.turns):
+        found = centres(lambda x, c=found: np.argmin((c ** 2).sum(axis=1) - 2 * x @ c.T, axis=1))
+    return found
+
+
+def topics(values: pa.Array, index: np.ndarray, offsets: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """For each word and, last, each text's end: the centre nearest to the byte frequencies of the text before it.
+
+    Words come first, in order, then the ends. Nothing before: one topic of its own.
+    """
+    data, edges = ragged.raw_bytes(values)
+    dots = np.stack([ragged.segment_sum(c[CLASSES[data]], edges) for c in centres], axis=1)[index]
+    sizes = np.diff(edges)[index].astype(np.float64)
+    norm = (centres ** 2).sum(axis=1)
+    running = np.concatenate([np.zeros((1, len(centres))), np.cumsum(dots, axis=0)])
+    length = np.concatenate([[0.0], np.cumsum(sizes)])
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    at = np.concatenate([np.arange(len(index)), offsets[1:]])
+    start = np.concatenate([offsets[:-1][owner], offsets[:-1]])
+    before = length[at] - length[start]
+    # Rounded, so that the same beginning has the same topic wherever its text lies in a slice.
+    score = np.round(norm - 2 * (running[at] - running[start]) / np.maximum(1, before)[:, None], 9)
+    return np.where(before > 0, np.argmin(score, axis=1), len(centres))
+
+
 class Trie:
     """Distinct (prefix, next byte) edges of sorted distinct tokens, with the training count of each.
 
@@ -47,7 +131,7 @@ class Trie:
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, counts: np.ndarray):
-        """``data`` and ``offsets`` hold the tokens in byte order, each closed by ``END``."""
+        """``data`` and ``offsets`` hold the tokens in byte order, each opened by its topic and closed by ``END``."""
         sizes = np.diff(offsets)
         token = np.repeat(np.arange(len(sizes)), sizes)
         place = np.arange(len(data)) - offsets[:-1][token]
@@ -67,6 +151,7 @@ class Trie:
         for k in range(1, 7):
             inside = self.place >= k
             self.history[inside] |= data[at[inside] - k].astype(np.uint64) << np.uint64(8 * (k - 1))
+        self.topic = data[np.maximum(at - self.place, 0)].astype(np.uint64)
         self.prefix = np.where(self.place > 0, prefix[at - (self.place > 0)], np.uint64(0))
 
     @staticmethod
@@ -84,7 +169,7 @@ class Trie:
             part = self.history[picked] & np.uint64((1 << (8 * k)) - 1)
             # Short prefixes keep their start: a context of k bytes knows when fewer precede.
             start = np.minimum(self.place[picked], k).astype(np.uint64) << np.uint64(56)
-            out.append(ragged.mix64((part | start) + SALTS[n]))
+            out.append(ragged.mix64(ragged.mix64((part | start) + SALTS[n]) + self.topic[picked]))
         out.append(ragged.mix64(self.prefix[picked] + SALTS[-1]))
         return out
 
@@ -200,8 +285,11 @@ def edge_logs(mixer: Mixer, trie: Trie, picked: np.ndarray, counts: np.ndarray,
     return out
 
 
-def _tokens(docs: DataFrame, shards: int, settings: Settings, kind: str) -> DataFrame:
-    """Each slice of documents as packed rows: per shard its distinct tokens with training counts, and one row of token numbers."""
+def _tokens(docs: DataFrame, shards: int, centres: np.ndarray, settings: Settings, kind: str) -> DataFrame:
+    """Each slice of documents as packed rows: per shard its distinct tokens with training counts, and one row of token numbers.
+
+    A token here is its topic's letter and its bytes.
+    """
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for n, batch in enumerate(ragged.slices(batches, "text")):
@@ -209,27 +297,32 @@ def _tokens(docs: DataFrame, shards: int, settings: Settings, kind: str) -> Data
             words, offsets = ragged.split_words(pc.ascii_lower(ragged.texts(batch, "text")))
             values, index = ragged.dictionary(words)
             texts, end = len(offsets) - 1, len(values)
+            owner = np.concatenate([np.repeat(np.arange(texts), np.diff(offsets)), np.arange(texts)])
+            topic = topics(values, index, offsets, centres)
+            distinct, number = np.unique(np.append(index, np.full(texts, end)) * 16 + topic, return_inverse=True)
             train = np.asarray(batch.column("train")).astype(bool)
-            owner = np.repeat(np.arange(texts), np.diff(offsets))
-            counts = np.bincount(index[train[owner]], minlength=end + 1)
-            counts[end] = train.sum()
+            counts = np.bincount(number[train[owner]], minlength=len(distinct))
             data, edges = ragged.raw_bytes(values)
             edges = np.append(edges, edges[-1])  # the end token has no bytes
+            at, edges = ragged.positions(edges, distinct // 16)
             sizes = np.diff(edges)
-            head = np.zeros(end + 1, dtype=np.uint64)
-            padded = np.append(data, np.zeros(settings.head, np.uint8))
+            spelled = np.insert(data[at], edges[:-1], (65 + distinct % 16).astype(np.uint8))
+            edges = edges + np.arange(len(edges))
+            head = np.zeros(len(distinct), dtype=np.uint64)
+            padded = np.append(spelled, np.zeros(settings.head + 1, np.uint8))
             for k in range(settings.head):
-                head = (head << np.uint64(8)) | np.where(sizes > k, padded[edges[:-1] + k], END).astype(np.uint64)
+                head = (head << np.uint64(8)) | np.where(sizes > k, padded[edges[:-1] + 1 + k], END).astype(np.uint64)
+            sizes = np.diff(edges)
             shard = (ragged.mix64(head) % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             found, begins = np.unique(shard[order], return_index=True)
             rows = []
             for s, part in zip(found.tolist(), np.split(order, begins[1:])):
                 at, _ = ragged.positions(edges, part)
-                rows.append((s, data[at].tobytes(), sizes[part].astype("<i4").tobytes(), counts[part].astype("<i8").tobytes(), part.astype("<i4").tobytes()))
+                rows.append((s, spelled[at].tobytes(), sizes[part].astype("<i4").tobytes(), counts[part].astype("<i8").tobytes(), part.astype("<i4").tobytes()))
             # Token numbers of each text, with multiplicity: sorted, so differences are small.
-            pairs, times = np.unique(owner * (end + 1) + index, return_counts=True)
-            text_of, number = pairs // (end + 1), pairs % (end + 1)
+            pairs, times = np.unique(owner * len(distinct) + number, return_counts=True)
+            text_of, number = pairs // len(distinct), pairs % len(distinct)
             packed = pa.compress(np.diff(number, prepend=0).astype("<i4").tobytes(), "zstd", asbytes=True), pa.compress(times.astype("<i4").tobytes(), "zstd", asbytes=True)
             ends = np.searchsorted(text_of, np.arange(texts + 1)).astype("<i8").tobytes()
             total = np.diff(offsets).astype("<i8").tobytes()
@@ -242,7 +335,7 @@ def _tokens(docs: DataFrame, shards: int, settings: Settings, kind: str) -> Data
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name]), pa.nulls(1, pa.int64()), *[pa.array([x], pa.binary()) for x in (packed[0], packed[1], ends, total)],
                  pa.ListArray.from_arrays(pa.array([0, texts], pa.int32()), batch.column("key")),
-                 pa.array([(~train).tolist()], pa.list_(pa.bool_())), pa.array([end + 1], pa.int64())], names=NAMES)
+                 pa.array([(~train).tolist()], pa.list_(pa.bool_())), pa.array([len(distinct)], pa.int64())], names=NAMES)
 
     return docs.mapInArrow(emit, f"batch string, shard long, a binary, b binary, c binary, d binary, keys array<{kind}>, "
                                  "held array<boolean>, size long")
@@ -266,15 +359,22 @@ def _shard_tokens(table: pa.Table) -> pa.Table:
     counts = np.bincount(place, weights=np.concatenate([np.frombuffer(x, "<i8") for x in table["c"].to_pylist()]).astype(np.float64), minlength=len(order))
     values = values.take(pa.array(order))
     flat, offsets = ragged.raw_bytes(values)
+    # Counts of the words whatever their topic, for the base.
+    bare = np.delete(flat, offsets[:-1])
+    word = pa.Array.from_buffers(pa.large_binary(), len(order), [None, pa.py_buffer((offsets - np.arange(len(offsets))).astype("<i8").tobytes()),
+                                                                 pa.py_buffer(bare.tobytes())])
+    words, which = ragged.dictionary(word)
+    by_word = np.bincount(which, weights=counts, minlength=len(words))
     return pa.table({
         "shard": table["shard"].slice(0, 1), "bytes": pa.array([flat.tobytes()], pa.binary()),
         "sizes": pa.array([np.diff(offsets).astype("<i4").tobytes()], pa.binary()), "counts": pa.array([counts.astype("<f8").tobytes()], pa.binary()),
-        "tokens": pa.array([int(counts.sum())], pa.int64()), "known": pa.array([int((counts > 0).sum())], pa.int64()),
+        "words": pa.array([by_word[which].astype("<f8").tobytes()], pa.binary()),
+        "tokens": pa.array([int(counts.sum())], pa.int64()), "known": pa.array([int((by_word > 0).sum())], pa.int64()),
         "batches": pa.array([table["batch"].to_pylist()], pa.list_(pa.string())), "lengths": pa.array([[len(x) for x in rows]], pa.list_(pa.int64())),
         "places": pa.array([place.astype("<i4").tobytes()], pa.binary()), "numbers": pa.array([b"".join(table["d"].to_pylist())], pa.binary())})
 
 
-SHARD = ("shard long, bytes binary, sizes binary, counts binary, tokens long, known long, batches array<string>, lengths array<long>, "
+SHARD = ("shard long, bytes binary, sizes binary, counts binary, words binary, tokens long, known long, batches array<string>, lengths array<long>, "
          "places binary, numbers binary")
 
 
@@ -294,6 +394,11 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(i, 1).to_pylist()[0]
 
 
+def _first(trie: Trie, settings: Settings) -> np.ndarray:
+    """Edges of the first bytes after the topic, which is given and costs nothing."""
+    return np.flatnonzero((trie.place > 0) & (trie.place <= settings.head))
+
+
 def _head_counts(shards: DataFrame, settings: Settings) -> np.ndarray:
     """Bit counts of all tokens' first bytes: a fixed number of slots, summed over shards and sent to all tasks."""
     contexts, slots = len(settings.head_orders) + 1, 1 << settings.head_bits
@@ -301,9 +406,9 @@ def _head_counts(shards: DataFrame, settings: Settings) -> np.ndarray:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             trie, _ = _trie(row)
-            flat = count_bits(trie, np.flatnonzero(trie.place < settings.head), settings.head_orders, settings.head_bits, settings.chunk).ravel()
+            flat = count_bits(trie, _first(trie, settings), settings.head_orders, settings.head_bits, settings.chunk).ravel()
             at = np.flatnonzero(flat)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at])], names=["slot", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at].astype(np.float64))], names=["slot", "n"])
 
     # At most contexts * slots * 2 rows, whatever the input.
     summed = shards.select("bytes", "sizes", "counts").mapInArrow(emit, "slot long, n double").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
@@ -318,8 +423,8 @@ def _head_weights(shards: DataFrame, head, settings: Settings) -> np.ndarray:
         for row in _rows(batches):
             trie, counts = _trie(row)
             mixer = Mixer(len(settings.head_orders) + 1, settings)
-            train(mixer, trie, np.flatnonzero(trie.place < settings.head), head.value, settings.head_orders, settings.head_bits, settings)
-            flat = mixer.weights.ravel()
+            train(mixer, trie, _first(trie, settings), head.value, settings.head_orders, settings.head_bits, settings)
+            flat = mixer.weights.ravel().astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * counts.sum()), pa.array(np.full(len(flat), counts.sum()))],
                                              names=["at", "w", "n"])
 
@@ -336,7 +441,7 @@ def _shard_scores(shards: DataFrame, head, weights: np.ndarray, settings: Settin
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             trie, counts = _trie(row)
-            first, rest = np.flatnonzero(trie.place < settings.head), np.flatnonzero(trie.place >= settings.head)
+            first, rest = _first(trie, settings), np.flatnonzero(trie.place > settings.head)
             opening = Mixer(len(settings.head_orders) + 1, settings)
             opening.weights = weights
             logs = edge_logs(opening, trie, first, head.value, settings.head_orders, settings.head_bits, settings.chunk)
@@ -349,7 +454,7 @@ def _shard_scores(shards: DataFrame, head, weights: np.ndarray, settings: Settin
             ends = np.cumsum(row["lengths"])[:-1]
             split = lambda x: [p.tobytes() for p in np.split(x, ends)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row["batches"]), *[pa.array(split(x), pa.binary()) for x in (number, counts[place], score[place])]],
+                [pa.array(row["batches"]), *[pa.array(split(x), pa.binary()) for x in (number, np.frombuffer(row["words"], "<f8")[place], score[place])]],
                 names=["batch", "numbers", "counts", "scores"])
 
     return shards.mapInArrow(emit, "batch string, numbers binary, counts binary, scores binary")
@@ -362,9 +467,9 @@ def score_texts(docs: DataFrame, folds: int = 10, settings: Settings = Settings(
     end. Learning uses all rows but the held-out fold (CRC-32 of the key as text,
     modulo ``folds``, is 0). ``base_score`` is the smoothed unigram. ``score``
     spells each token as bytes and a closing byte and predicts every bit: hashed
-    contexts within the token (its last bytes, its whole beginning) hold bit
-    counts, logistic mixing by gated weights combines them, and an adaptive
-    table refines the result: ``-score / log10(2)`` is the text's total bits.
+    contexts (the topic that the text before the token suggests, with the
+    token's last bytes or its whole beginning) hold bit counts, logistic mixing
+    by gated weights combines them, and an adaptive table refines the result: ``-score / log10(2)`` is the text's total bits.
 
     Null and empty texts are the end alone; a null key is in training; repeated
     rows are learned and scored each; an empty table gives no rows; without
@@ -380,9 +485,9 @@ def score_texts(docs: DataFrame, folds: int = 10, settings: Settings = Settings(
         F.col(key).alias("key"), F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % folds != 0, F.lit(True)).alias("train"),
         F.col(text).cast("string").alias("text"))
     kind = chosen.schema["key"].dataType.simpleString()
-    shards = shard_count(chosen, "text")
+    shards = shard_count(chosen, "text", least=8)
     path = scratch_path(spark, "tokens")
-    _tokens(chosen, shards, settings, kind).withColumn("words", F.col("shard").isNotNull()).write.partitionBy("words").parquet(path)
+    _tokens(chosen, shards, topic_centres(chosen, settings), settings, kind).withColumn("words", F.col("shard").isNotNull()).write.partitionBy("words").parquet(path)
     parts = spark.read.schema(f"batch string, shard long, a binary, b binary, c binary, d binary, keys array<{kind}>, held array<boolean>, "
                               "size long, words boolean").parquet(path)
     merged = materialize(parts.where("words").select("batch", "shard", "a", "b", "c", "d").groupBy("shard")
@@ -406,8 +511,7 @@ def score_texts(docs: DataFrame, folds: int = 10, settings: Settings = Settings(
             raw = [pa.decompress(row[x], decompressed_size=4 * int(ends[-1]), codec="zstd", asbytes=True) for x in ("a", "b")]
             number, times = np.cumsum(np.frombuffer(raw[0], "<i4"), dtype=np.int64), np.frombuffer(raw[1], "<i4").astype(np.float64)
             base = np.log10((count + 0.1) / (n + 0.1 * (v + 1)))
-            end = row["size"] - 1
-            total = lambda x: ragged.segment_reduce(np.add, times * x[number], ends, 0) + x[end]
+            total = lambda x: ragged.segment_reduce(np.add, times * x[number], ends, 0)
             size = np.frombuffer(row["d"], "<i8")
             out.append(pa.table({
                 "key": pa.array(row["keys"], table_type), "held_out": pa.array(row["held"], pa.bool_()), "n_tokens": size + 1,

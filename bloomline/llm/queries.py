@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bloomline.llm import (
-    decontamination, licenses, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_counts,
+    decontamination, licenses, lm_scoring, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_counts,
     url_filters,
 )
 from bloomline.llm.shipping import ship
@@ -53,6 +53,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query("op2_lm_scoring")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query("op3_simhash")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -136,10 +136,10 @@ def _joined(table: pa.Table, name: str, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(table[name].to_pylist()), dtype=kind)
 
 
-def shard_count(docs: DataFrame, text: str) -> int:
-    """Shards of packed rows so that each stands for about ``SHARD_BYTES`` of text."""
+def shard_count(docs: DataFrame, text: str, least: int = 32) -> int:
+    """Shards of packed rows so that each stands for about ``SHARD_BYTES`` of text, but at least so many."""
     size = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
-    return max(32, -(-size // SHARD_BYTES))
+    return max(least, -(-size // SHARD_BYTES))
 
 
 def colliding(docs: DataFrame, shards: int, settings: Settings) -> DataFrame:
