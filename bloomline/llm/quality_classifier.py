@@ -21,9 +21,10 @@ class Settings:
     dimensions: int = 16
     lengths: tuple[int, ...] = (1, 2, 3, 4)
     rows_per_class: int = 1000
-    epochs: int = 6
+    steps: int = 800
     batch: int = 16
     rate: float = 0.5
+    bound: float = 4.0
 
 
 def features(words: pa.Array, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -91,11 +92,13 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, setting
     rng = np.random.default_rng(5)
     table = rng.uniform(-1, 1, (1 << settings.bits, settings.dimensions)).astype(np.float32) / settings.dimensions
     output = np.zeros((2, settings.dimensions), dtype=np.float32)
-    steps, step = settings.epochs * -(-len(rows) // settings.batch), 0
-    for _ in range(settings.epochs):
+    step = 0
+    while step < settings.steps:
         order = rng.permutation(len(rows))
         for start in range(0, len(rows), settings.batch):
-            rate = settings.rate * (1 - step / steps)
+            if step == settings.steps:
+                break
+            rate = settings.rate * (1 - step / settings.steps)
             step += 1
             chosen = order[start:start + settings.batch]
             at = np.concatenate([rows[i][0] for i in chosen])
@@ -108,8 +111,12 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, setting
             p[np.arange(len(chosen)), labels[chosen]] -= 1
             back = p @ output
             output -= rate * (p.T @ hidden)
-            # Averages of many buckets move each one little, so the table learns at a rate scaled by their number.
-            np.subtract.at(table, at, (rate * settings.dimensions) * share[:, None] * np.repeat(back, sizes, axis=0))
+            # A text's logits move by the sum of its squared shares: long texts, whose shares are small, need larger
+            # steps. The bound on a text's vectors keeps texts that contradict each other from driving them apart.
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            scale = np.minimum(settings.dimensions, 1 / np.add.reduceat(share * share, starts))
+            np.subtract.at(table, at, rate * share[:, None] * np.repeat(back * scale[:, None], sizes, axis=0))
+            np.clip(output, -settings.bound, settings.bound, out=output)
     return (table @ (output[1] - output[0])).astype(np.float32)
 
 

@@ -362,10 +362,13 @@ def remove_passages(docs: DataFrame, settings: Settings = Settings(), key: str =
     All columns stay; ``length``, where present, is set to the characters left
     in changed texts. Untouched documents, also empty ones, stay as they are.
     """
+    extra = "_spans"
+    while extra in docs.columns:
+        extra = "_" + extra
     spans = repeated_passages(docs, settings, key, text).groupBy(F.col(key).alias("_key"), F.col("row").alias("_row")).agg(
-        F.collect_list(F.struct("start", "end")).alias("_spans"))
+        F.collect_list(F.struct("start", "end")).alias(extra))
     joined = docs.join(spans, docs[key].cast("long").eqNullSafe(spans["_key"]) & (F.xxhash64(docs[text].cast("string")) == spans["_row"]), "left")
-    joined = joined.select(*[docs[c] for c in docs.columns], "_spans")
+    joined = joined.select(*[docs[c] for c in docs.columns], spans[extra])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
