@@ -16,6 +16,7 @@ from bloomline.llm.url_filters import build_filter, may_hold
 from bloomline.session import materialize
 
 SHARD_BYTES = 16 << 20  # text behind one shard of packed rows
+SLICE_BYTES = 2 << 20  # text whose paragraphs are in memory at once
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -145,7 +146,7 @@ def shard_count(docs: DataFrame, text: str, least: int = 32) -> int:
 def colliding(docs: DataFrame, shards: int, settings: Settings) -> DataFrame:
     """Groups of different paragraphs that share a band: (bucket, uid). Equal groups of several bands count once."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in ragged.slices(batches, "text"):
+        for batch in ragged.slices(batches, "text", SLICE_BYTES):
             found = paragraphs(ragged.texts(batch, "text"), settings.width)
             picked, keys = band_keys(found, settings)
             uid = np.repeat(found.uid[picked], settings.bands)
@@ -177,7 +178,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, settings: Settings) -> Data
     table = build_filter(wanted.select(F.col("uid").cast("string").alias("k")), "k")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in ragged.slices(batches, "text"):
+        for batch in ragged.slices(batches, "text", SLICE_BYTES):
             found = paragraphs(ragged.texts(batch, "text"), settings.width)
             long = np.flatnonzero(np.diff(found.offsets) >= settings.least_shingles)
             _, one = np.unique(found.uid[long], return_index=True)
@@ -261,7 +262,7 @@ def occurrences(docs: DataFrame, classes: DataFrame, shards: int, settings: Sett
     the class has yet to be found. Repeated rows count once.
     """
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in ragged.slices(batches, "text"):
+        for batch in ragged.slices(batches, "text", SLICE_BYTES):
             found = paragraphs(ragged.texts(batch, "text"), settings.width)
             key = np.asarray(pc.fill_null(batch.column(0), np.iinfo(np.int64).max), dtype=np.int64)[found.doc]
             row = np.asarray(batch.column(1), dtype=np.int64)[found.doc]
