@@ -67,7 +67,8 @@ def _linear(**params) -> Estimator:
 
 
 def _forest(**params) -> Estimator:
-    return RandomForestRegressor(featureSubsetStrategy="all", seed=SEED, checkpointInterval=10, **params)
+    return RandomForestRegressor(
+        featureSubsetStrategy="all", seed=SEED, cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=128, **params)
 
 
 def _boosting(**params) -> Estimator:
@@ -119,6 +120,11 @@ def metrics_per_group(df: DataFrame, by: list[str], y: str = TARGET, pred: str =
     return scored.select(*by, "mae_days", "rmse_days", F.col("evaluation_row_count").alias("n_test_rows"))
 
 
+def compact(train: DataFrame, rows: int = 50_000) -> DataFrame:
+    """Training rows in as few partitions as their number needs: tree fits run many short jobs over them."""
+    return train.coalesce(max(1, -(-train.count() // rows)))
+
+
 def cross_validate(train: DataFrame, estimator: Pipeline, folds: int = CV_FOLDS):
     """Mean and spread of the fold MAEs, and the model refitted on all training rows."""
     validator = CrossValidator(
@@ -127,6 +133,7 @@ def cross_validate(train: DataFrame, estimator: Pipeline, folds: int = CV_FOLDS)
         evaluator=RegressionEvaluator(labelCol=TARGET, predictionCol="prediction", metricName="mae"),
         numFolds=folds,
         foldCol="fold",
+        parallelism=folds,
     )
     fitted = validator.fit(cv_fold(train, folds=folds))
     return fitted.avgMetrics[0], fitted.stdMetrics[0], fitted.bestModel
@@ -135,11 +142,19 @@ def cross_validate(train: DataFrame, estimator: Pipeline, folds: int = CV_FOLDS)
 def choose(metrics: DataFrame, by: str = "cv_mae_days") -> DataFrame:
     """Model rows with ``is_best_model``: the lowest error, then the first name."""
     best = metrics.agg(F.min_by("model_name", F.struct(by, "model_name")).alias("_best"))
-    return metrics.join(best, on=F.col("model_name") == F.col("_best"), how="left").select(
+    # A single row.
+    return metrics.join(F.broadcast(best), on=F.col("model_name") == F.col("_best"), how="left").select(
         *metrics.columns, F.col("_best").isNotNull().alias("is_best_model")
     )
 
 
+def ranked(rows: list[dict], spark) -> list[dict]:
+    """Metric rows with ``choose`` applied, best first; as many as there are candidates."""
+    table = spark.createDataFrame([(r["model_name"], float(r["cv_mae_days"])) for r in rows], "model_name string, cv_mae_days double")
+    best = choose(table).where("is_best_model").first()["model_name"]
+    return sorted(rows, key=lambda r: (r["model_name"] != best, r["cv_mae_days"], r["model_name"]))
+
+
 def select_best_model(
     split: DataFrame, candidates: dict[str, dict] = CANDIDATE_MODELS, folds: int = CV_FOLDS
 ) -> tuple[list[dict], PipelineModel]:
@@ -148,7 +163,7 @@ def select_best_model(
     The driver sees one metric row per candidate; the fits run on the cluster.
     """
     ensure_checkpoint_dir(split.sparkSession)
-    train = split.where("split = 'train'").persist()
+    train = compact(split.where("split = 'train'")).persist()
     test = split.where("split = 'test'").persist()
     try:
         rows, fitted = [], {}
@@ -166,7 +181,7 @@ def select_best_model(
     finally:
         train.unpersist()
         test.unpersist()
-    rows.sort(key=lambda r: (r["cv_mae_days"], r["model_name"]))
+    rows = ranked(rows, split.sparkSession)
     return rows, fitted[rows[0]["model_name"]]
 
 
@@ -175,7 +190,7 @@ def fit_final_model(
 ) -> PipelineModel:
     """Refit a candidate on every row."""
     ensure_checkpoint_dir(train.sparkSession)
-    return build_estimator(name, candidates).fit(train)
+    return build_estimator(name, candidates).fit(compact(train))
 
 
 def station_extremes(metrics: DataFrame) -> DataFrame:

@@ -39,6 +39,7 @@ def climate_timeseries(climate: DataFrame, stations: DataFrame, months: DataFram
             "station_code", "station_name", F.col("_month").alias("date_key"),
             "mean_temp_c", "precipitation_mm", "season",
         )
+        .orderBy("station_code", "date_key")
     )
 
 
@@ -61,7 +62,7 @@ def climate_kpis(climate: DataFrame) -> DataFrame:
 def event_history(events: DataFrame, event_type: str = FIRST_BLOOM) -> DataFrame:
     return events.where(F.col("event_type") == event_type).select(
         "location_code", "year", "date_key", "day_of_year", "event_type", "data_status", "source_name"
-    )
+    ).orderBy("location_code", "year", "date_key")
 
 
 def late_season_temp(climate: DataFrame, months: tuple[int, ...] = (2, 3)) -> DataFrame:
@@ -89,7 +90,7 @@ def event_temp_features(
     )
     return history.join(temperature, on=["_location", "year"], how="left").select(
         "location_code", "station_code", "year", "date_key", "day_of_year", "mean_temp_feb_mar"
-    )
+    ).orderBy("location_code", "year", "station_code")
 
 
 FORECAST_COLUMNS = [
@@ -134,7 +135,7 @@ def forecast_map(
         *located.columns[:-1], *[c for c in best.columns[1:] if c != "station_mae_days"],
         F.coalesce("station_mae_days", "mae_days").alias("station_mae_days"),
         F.date_format("predicted_event_date", "dd MMM yyyy").alias("bloom_label"),
-    )
+    ).orderBy("station_name", "forecast_year", "station_code")
 
 
 def historical_avg(

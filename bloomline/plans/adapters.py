@@ -24,7 +24,6 @@ from bloomline.sources.contracts import conform
 STATION_BASE, WIDTH = 47_000_000_000, 9
 AUTUMN_RUN, SPRING_RUN = dt.date(2001, 11, 4), dt.date(2001, 5, 1)
 RUN_TIME = dt.datetime(2001, 11, 4)
-WIDE_YEARS = range(1990, 2006)
 PAGE_URL = "https://weather.example/monthly?station="
 
 
@@ -227,7 +226,9 @@ def wide_events(spark: SparkSession, sf_dir: str, flag: str = "R") -> DataFrame:
         "l_suppkey", "year", "n", (F.month(day) * 100 + F.dayofmonth(day)).alias("mdd")
     )
     inside = lambda y, c: F.max(F.when(F.col("year") == y, F.col(c)))
-    cells = [x for y in WIDE_YEARS for x in (inside(y, "mdd").alias(str(y)), inside(y, "n").alias(f"{y}rm"))]
+    span = table(spark, sf_dir, "lineitem").agg(F.year(F.min("l_shipdate")), F.year(F.max("l_shipdate"))).first()
+    years = range(span[0], span[1] + 1) if span[0] is not None else range(0)
+    cells = [x for y in years for x in (inside(y, "mdd").alias(str(y)), inside(y, "n").alias(f"{y}rm"))]
     wide = yearly.groupBy("l_suppkey").agg(*cells)
     return wide.select(
         F.col("l_suppkey").cast("string").alias("番号"),
@@ -264,7 +265,12 @@ def _fit_baselines(rows: DataFrame) -> DataFrame:
 
 
 def bloom_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir).where(F.col("event_type") == FIRST_BLOOM)
+    return split_rows(events(spark, sf_dir))
+
+
+def split_rows(events: DataFrame) -> DataFrame:
+    """First-bloom rows of an event fact with their split and fold."""
+    e = events.where(F.col("event_type") == FIRST_BLOOM)
     return model.cv_fold(model.hash_split(
         e.select(pad_location(F.col("location_code"), WIDTH).alias("location_code"),
                  "year", "event_type", "day_of_year")
@@ -292,12 +298,14 @@ def stored_bloom_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def baseline_forecast(spark: SparkSession, sf_dir: str, as_of: dt.date = AUTUMN_RUN) -> DataFrame:
     """Forecast fact of all baselines for the run date."""
-    rows = stored_bloom_rows(spark, sf_dir)
+    return baseline_forecast_of(stored_bloom_rows(spark, sf_dir), as_of)
+
+
+def baseline_forecast_of(rows: DataFrame, as_of: dt.date = AUTUMN_RUN) -> DataFrame:
+    """The same from given event rows with their splits and folds."""
+    spark = rows.sparkSession
     scores = baseline_scores(rows)
-    ranked = sorted(
-        (r.asDict() for r in baseline_metrics(scores).collect()),
-        key=lambda r: (r["cv_mae_days"], r["model_name"]),
-    )
+    ranked = model.ranked([r.asDict() for r in baseline_metrics(scores).collect()], spark)
     models = fc.model_rows(spark, ranked, rows.count())
     year = as_of.year + (as_of.month >= 6)
     predicted = _fit_baselines(rows).withColumns({

@@ -12,8 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bloomline.config import (
-    CANDIDATE_MODELS, FIRST_BLOOM, FULL_BLOOM, LOCATION_WIDTH, MODEL_VERSION, PLAUSIBLE_DOY,
-    PRECIP_VIEW, STATION_BASE, TEMP_VIEW,
+    CANDIDATE_MODELS, DENY_STATION_CODES, FIRST_BLOOM, FULL_BLOOM, LOCATION_WIDTH, MODEL_VERSION, PLAUSIBLE_DOY,
+    PRECIP_VIEW, RETIRED_MARKER, STATION_BASE, TEMP_VIEW,
 )
 from bloomline.functions.dates import timestamp
 from bloomline.functions.text import rename_aliases
@@ -52,20 +52,39 @@ class Landing:
     ``climate_pages``: station_code, station_name, source_url, view, html.
     ``caption_pages``: station_code, station_name, source_url, html.
     ``event_files``: event type to (body path, header path or None).
+    ``station_pages``: html of the pages that list the stations; without any,
+    all stations but the denied and retired ones are taken.
+    ``encoding``: that of the event files.
     """
 
     climate_pages: DataFrame
     caption_pages: DataFrame
     event_files: dict[str, tuple[str, str | None]]
+    station_pages: DataFrame | None = None
+    encoding: str = "UTF-8"
+
+
+def listed_stations(pages: DataFrame, listing: DataFrame | None) -> DataFrame:
+    """Pages of the stations to load: listed ones, never denied or retired ones."""
+    retired = F.coalesce(F.col("station_name").contains(RETIRED_MARKER), F.lit(False))
+    pages = pages.where(~F.trim("station_code").isin(DENY_STATION_CODES) & ~retired)
+    if listing is None:
+        return pages
+    wanted = html.html_option_list(listing).select(F.col("code").alias("_code")).distinct()
+    return pages.join(wanted, F.trim(pages["station_code"]) == wanted["_code"], "left_semi")
 
 
 def parse_climate(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Monthly measures of all readable pages, and the pages that failed.
+    """Monthly measures of all stations whose pages are readable, and the stations that failed.
 
-    The parsed rows are written once; both measures and the failures read them.
+    A station with one unreadable page fails as a whole: half of its measures
+    would look like missing ones. The parsed rows are written once; both
+    measures and the failures read them.
     """
     parsed = materialize(html.html_table_columns(pages.drop("source_url")), "parsed-pages")
-    good, failed = html.split_good_reject(parsed)
+    good, bad = html.split_good_reject(parsed)
+    failed = bad.groupBy("station_code").agg(F.min("parse_error").alias("parse_error"))
+    good = good.join(failed, "station_code", "left_anti")
     keys = ["station_code", "station_name"]
     measure = lambda view, name: reshape.unpivot_months(good.where(F.col("view") == view), keys, name)
     joined = staging.join_measures(
@@ -77,14 +96,14 @@ def parse_climate(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 def run_raw(wh: Warehouse, landing: Landing, run_ts: dt.datetime, source_name: str) -> DataFrame:
     """Parse the landed files into the raw tables; returns the load summary."""
     stamp = timestamp(run_ts)
-    measures, failed = parse_climate(landing.climate_pages)
+    measures, failed = parse_climate(listed_stations(landing.climate_pages, landing.station_pages))
     urls = landing.climate_pages.where(F.col("view") == TEMP_VIEW).select("station_code", "source_url")
     climate = measures.join(urls, on="station_code", how="left").withColumn("raw_ingested_at", stamp)
     loaded = wh.rebuild("raw/climate", conform(climate, RAW_CLIMATE))
     html.require_rows(loaded, "station data")
 
     for event_type, (body, header) in landing.event_files.items():
-        wide = rename_aliases(wide_csv.read_wide_csv(wh.spark, body, header))
+        wide = rename_aliases(wide_csv.read_wide_csv(wh.spark, body, header, encoding=landing.encoding))
         long = reshape.unpivot_years(wide, ["station_code_raw", "location_name_raw"])
         raw = staging.build_raw_events(long, event_type, source_name, body, "wide event table", stamp)
         sinks.replace_partitions(

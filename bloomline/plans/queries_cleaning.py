@@ -339,7 +339,7 @@ GROUP BY page_id, name, code""")
 def _(spark, sf):
     listed = html.html_option_list(
         table(spark, sf, "pages").select("page_id", "html"),
-        scope=None, item=r'<li><a href="/([^"]*)">([^<]*)</a>', deny_codes=["The", "und"],
+        scope=None, item=r'<li><a href="/([^"]*)">([^<]*)</a>', code_groups=(1,), text_group=2, deny_codes=["The", "und"],
     )
     return listed.select("page_id", "position", "name", "code")
 

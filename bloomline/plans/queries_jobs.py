@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bloomline.config import CANDIDATE_MODELS
 from bloomline.operators import serving
 from bloomline.plans import adapters as a, jobs
 from bloomline.plans.registry import query
@@ -27,13 +26,14 @@ def warehouse(spark: SparkSession, name: str) -> jobs.Warehouse:
 
 @query("monthly_run")
 def monthly_run(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw to marts and features, baseline forecast, map rows with their visit windows."""
+    """Staging to marts and features, baseline forecast from the event fact, map rows with their visit windows."""
     wh = warehouse(spark, "monthly-run")
     wh.rebuild("staging/climate", a.staged_climate(spark, sf))
     wh.rebuild("staging/events", a.staged_events(spark, sf))
     wh.rebuild("staging/metadata", a.metadata(spark, sf))
     jobs.run_marts(wh, a.AUTUMN_RUN)
-    fact = wh.rebuild("marts/forecast", a.baseline_forecast(spark, sf))
+    rows = wh.rebuild("marts/bloom_rows", a.split_rows(wh.read("marts/fact_events")))
+    fact = wh.rebuild("marts/forecast", a.baseline_forecast_of(rows))
     windows = serving.visit_windows(fact, wh.read("marts/event_gap"), width=a.WIDTH)
     located = serving.forecast_map(fact, wh.read("marts/dim_station"), width=a.WIDTH)
     upcoming = wh.read("marts/prediction_features").select("location_code", "using_climate_normals")
@@ -47,11 +47,9 @@ def monthly_run(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("monthly_checks")
 def monthly_checks(spark: SparkSession, sf: str) -> DataFrame:
-    """The complete run over landed pages and files with the linear model; its check report."""
+    """The complete run over landed pages and files with all candidates; its check report."""
     return jobs.run_all(
-        warehouse(spark, "monthly-checks"), landing(spark, sf), a.AUTUMN_RUN, a.RUN_TIME, "shipments",
-        {"linear_regression": CANDIDATE_MODELS["linear_regression"]},
-    )
+        warehouse(spark, "monthly-checks"), landing(spark, sf), a.AUTUMN_RUN, a.RUN_TIME, "shipments")
 
 
 @query("raw_load_summary")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bloomline.config import CANDIDATE_MODELS, FEATURES
+from bloomline.config import FEATURES
 from bloomline.functions.labels import prediction_status
 from bloomline.operators import features, forecast as fc, marts, model
 from bloomline.plans import adapters as a
 from bloomline.plans.registry import query
 from bloomline.plans.sql import FEATURE_DOUBLES, FORECAST_DOUBLES, pad, prediction_sql, with_
-from bloomline.session import scratch_path
+from bloomline.session import materialize, scratch_path
 
 W = a.WIDTH
 
@@ -205,24 +205,21 @@ def _(spark, sf):
     return a.baseline_forecast(spark, sf)
 
 
-# Registered fits use fewer trees than the configured 300; everything else is as configured.
-REGISTERED_CANDIDATES = {
-    "linear_regression": CANDIDATE_MODELS["linear_regression"],
-    "random_forest": {**CANDIDATE_MODELS["random_forest"], "numTrees": 20},
-    "hist_gradient_boosting": {**CANDIDATE_MODELS["hist_gradient_boosting"], "maxIter": 10},
-}
+def complete_rows(spark, sf):
+    """Training rows that may be fitted; a NULL feature is an error, never a dropped row."""
+    rows = materialize(model.training_set(training(spark, sf)), "training-rows")
+    return model.validate_features(rows)
 
 
 def model_forecast(spark, sf, name):
-    """Fit on every training row, forecast the autumn run."""
-    train = model.training_set(training(spark, sf)).dropna(subset=FEATURES).persist()
-    fitted = model.fit_final_model(train, name, REGISTERED_CANDIDATES)
-    metrics = model.regression_metrics(model.with_prediction(fitted, train)).first().asDict()
-    n = train.count()
-    train.unpersist()
-    upcoming = model.prediction_set(prediction(spark, sf, a.AUTUMN_RUN)).dropna(subset=FEATURES)
+    """Measure a candidate on held-out rows, refit it on all, forecast the autumn run."""
+    rows = model.hash_split(complete_rows(spark, sf))
+    measured = model.with_prediction(model.fit_final_model(rows.where("split = 'train'"), name), rows.where("split = 'test'"))
+    metrics = model.regression_metrics(measured).first().asDict()
+    fitted = model.fit_final_model(rows, name)
+    upcoming = model.validate_features(materialize(model.prediction_set(prediction(spark, sf, a.AUTUMN_RUN)), "upcoming"))
     predicted = model.with_prediction(fitted, upcoming).withColumn("model_name", F.lit(name))
-    models = fc.model_rows(spark, [{"model_name": name, **metrics}], n)
+    models = fc.model_rows(spark, [{"model_name": name, **metrics}], rows.count())
     return fc.build_forecast(predicted, models, a.RUN_TIME)
 
 
@@ -245,9 +242,8 @@ def _(spark, sf):
 def _(spark, sf):
     from pyspark.ml import PipelineModel
 
-    candidates = {"linear_regression": {}}
-    split = model.hash_split(model.training_set(training(spark, sf)).dropna(subset=FEATURES))
-    rows, best = model.select_best_model(split, candidates)
+    split = model.hash_split(complete_rows(spark, sf))
+    rows, best = model.select_best_model(split)
     path = scratch_path(spark, "artifact")
     fc.save_artifact(best, fc.metadata_row(spark, rows, split.count(), a.RUN_TIME), path)
     reloaded = PipelineModel.load(f"{path}/model")

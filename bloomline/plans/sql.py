@@ -7,7 +7,7 @@ form aggregates first, so that agreement shows the rewrite is right.
 from __future__ import annotations
 
 from bloomline.config import MONTHS
-from bloomline.plans.adapters import PAGE_URL, STATION_BASE as BASE, WIDE_YEARS, WIDTH
+from bloomline.plans.adapters import PAGE_URL, STATION_BASE as BASE, WIDTH
 
 CODE = f"CAST({BASE} + l_suppkey AS VARCHAR)"
 

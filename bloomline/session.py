@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import tempfile
 import uuid
 
@@ -18,6 +17,7 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(n))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bloomline-"))
         .config("spark.ui.enabled", "false")
         # Call-site capture doubles the cost of building a plan.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
@@ -26,23 +26,20 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
     )
 
 
-@functools.cache
-def _local_dir(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="bloomline-")
+_given: dict[str, str] = {}
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors see, as named by ``spark.checkpoint.dir``.
+def use_shared_dir(spark: SparkSession, path: str) -> None:
+    """Name the shared folder for a session that started without ``spark.checkpoint.dir``."""
+    _given.setdefault(spark.sparkContext.applicationId, path)
 
-    Where the setting is absent only a local session may fall back to a fresh
-    temporary folder; on a cluster that folder would exist on one machine only.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+
+def shared_dir(spark: SparkSession) -> str:
+    """Folder all executors see: ``spark.checkpoint.dir``, or the one given to ``use_shared_dir``."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or _given.get(spark.sparkContext.applicationId)
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return _local_dir(spark.sparkContext.applicationId)
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

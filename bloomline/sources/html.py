@@ -15,26 +15,53 @@ from pyspark.sql import Column, DataFrame, functions as F
 from bloomline.config import DENY_STATION_CODES, MONTHS, NAME_SUFFIXES, RETIRED_MARKER
 from bloomline.functions.text import normalize_whitespace, parse_coordinate
 
-# Entities resolved in cell text, `&amp;` last.
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+# Named entities resolved in cell text, `&amp;` last.
+ENTITIES = {
+    "&nbsp;": " ", "&ensp;": " ", "&emsp;": " ", "&thinsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'",
+    "&deg;": "\u00b0", "&prime;": "\u2032", "&Prime;": "\u2033", "&middot;": "\u00b7", "&minus;": "-", "&ndash;": "-", "&mdash;": "\u2014",
+    "&amp;": "&",
+}
+NUMERIC = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 
-TABLE = r"(?is)<table\b[^>]*>(.*?)</table>"
-ROW = r"(?is)<tr\b[^>]*>(.*?)</tr>"
-CELL = r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]>"
-SELECT = r'(?is)<select\b[^>]*\bname="block_no"[^>]*>(.*?)</select>'
-OPTION = r'(?is)<option\b[^>]*\bvalue="([^"]*)"[^>]*>([^<]*)'
-CAPTION = r'(?is)<caption\b[^>]*\bclass="m"[^>]*>(.*?)</caption>'
+OPEN_TABLE, CLOSE_TABLE = r"(?i)<table\b[^>]*>", r"(?i)</table\s*>"
+# Rows and cells end at their end tag or, where it is left out, at the next one's start.
+ROW = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|\z)"
+CELL = r"(?is)<t[hd]\b([^>]*)>(.*?)(?=</t[hd]\s*>|<t[hd]\b|\z)"
+SPAN = r"(?i)\bcolspan\s*=\s*[\"']?\s*([0-9]{1,3})"
+
+
+def attribute(name: str, value: str) -> str:
+    """Pattern of an attribute with one word among its values, in double, single or no quotes."""
+    return rf"""\b{name}\s*=\s*(?:"(?:[^">]*\s)?{value}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{value}(?:\s[^'>]*)?'|{value}(?=[\s>/]))"""
+
+
+SELECT = rf"(?is)<select\b[^>]*{attribute('name', 'block_no')}[^>]*>(.*?)</select\s*>"
+# Groups 1 to 3 hold the code (one of them, by its quotes), group 4 the visible text.
+OPTION = r"""(?is)<option\b[^>]*\bvalue\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))[^>]*>([^<]*)"""
+CAPTION = rf"(?is)<caption\b[^>]*{attribute('class', 'm')}[^>]*>(.*?)</caption\s*>"
 
 
 def plain_text(html: Column) -> Column:
     """Visible text of a fragment, whitespace collapsed."""
     bare = F.when(html.contains("<"), F.regexp_replace(html, r"<[^>]*>", " ")).otherwise(html)
     named = reduce(
-        lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES.items(), bare
+        lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES.items(), _numeric_entities(bare)
     )
     return normalize_whitespace(F.when(html.contains("&"), named).otherwise(bare))
 
 
+def _numeric_entities(text: Column) -> Column:
+    """``&#176;`` and ``&#xB0;`` as the characters they stand for; impossible ones stay."""
+    def character(entity: Column) -> Column:
+        digits = F.regexp_extract(entity, "([0-9a-fA-F]+);", 1)
+        code = F.when(entity.rlike("&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+        valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(entity)
+
+    found = F.array_distinct(_all(text, NUMERIC, 0))
+    return F.aggregate(found, text, lambda t, e: F.replace(t, e, character(e)))
+
+
 def _all(text: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
@@ -45,13 +72,29 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _cells(row: Column) -> Column:
-    return F.transform(_all(row, CELL), plain_text)
+    """Visible text of each cell, repeated over the columns that it spans."""
+    def wide(attributes: Column, text: Column) -> Column:
+        span = F.coalesce(F.regexp_extract(attributes, SPAN, 1).try_cast("int"), F.lit(1))
+        return F.array_repeat(plain_text(text), F.least(F.greatest(span, F.lit(1)), F.lit(100)))
+
+    return F.flatten(F.zip_with(_all(row, CELL, 1), _all(row, CELL, 2), wide))
+
+
+def _tables(html: Column) -> Column:
+    """What follows each opening table tag up to the next one, in page order; nested tables count."""
+    return F.slice(F.split(F.coalesce(html, F.lit("")), OPEN_TABLE), 2, 1 << 20)
+
+
+def _wanted(tables: Column, index: int) -> Column:
+    """Contents of the table at ``index``, NULL if it doesn't end before another one begins."""
+    parts = F.split(F.try_element_at(tables, F.lit(index + 1)), CLOSE_TABLE, 2)
+    return F.when(F.size(parts) > 1, F.try_element_at(parts, F.lit(1)))
 
 
 def _too_few(tables: Column, index: int) -> Column:
     found = F.size(tables)
     text = F.concat(F.lit(f"expected at least {index + 1} tables, got "), found.cast("string"))
-    return F.when(found <= index, text)
+    return F.when(found <= index, text).when(_wanted(tables, index).isNull(), F.lit("table holds another table or has no end"))
 
 
 def _no_error() -> Column:
@@ -74,12 +117,12 @@ def html_table_rows(pages: DataFrame, html_col: str = "html", table_index: int =
     def rows(tables: Column) -> Column:
         error = _too_few(tables, table_index)
         listed = F.transform(
-            _all(F.try_element_at(tables, F.lit(table_index + 1)), ROW),
+            _all(_wanted(tables, table_index), ROW),
             lambda r, i: entry(_no_error(), i, _cells(r)),
         )
         return F.when(error.isNotNull(), F.array(entry(error, F.lit(None), _no_cells()))).otherwise(listed)
 
-    return pages.select(*keep, F.inline(_once(_all(F.col(html_col), TABLE), rows)))
+    return pages.select(*keep, F.inline(_once(_tables(F.col(html_col)), rows)))
 
 
 def html_table_columns(
@@ -117,10 +160,10 @@ def html_table_columns(
 
     def page(tables: Column) -> Column:
         error = _too_few(tables, table_index)
-        rows = F.transform(_all(F.try_element_at(tables, F.lit(table_index + 1)), ROW), _cells)
+        rows = F.transform(_all(_wanted(tables, table_index), ROW), _cells)
         return F.when(error.isNotNull(), F.array(entry(error, _no_cells()))).otherwise(_once(rows, body))
 
-    parsed = pages.select(*keep, F.inline(_once(_all(F.col(html_col), TABLE), page)))
+    parsed = pages.select(*keep, F.inline(_once(_tables(F.col(html_col)), page)))
     return parsed.select(
         *keep, "parse_error",
         *[F.try_element_at("_cells", F.lit(i)).alias(c) for i, c in enumerate(columns, 1)],
@@ -132,13 +175,15 @@ def html_option_list(
     html_col: str = "html",
     scope: str | None = SELECT,
     item: str = OPTION,
+    code_groups: tuple[int, ...] = (1, 2, 3),
+    text_group: int = 4,
     deny_codes: list[str] = DENY_STATION_CODES,
     drop_marker: str = RETIRED_MARKER,
     suffixes: list[str] = NAME_SUFFIXES,
 ) -> DataFrame:
     """(name, code) items of each page in page order, every pair once.
 
-    ``item`` captures the code in group 1 and the visible text in group 2.
+    ``item`` captures the code in one of ``code_groups`` and the visible text in ``text_group``.
     Duplicates leave inside the page's array, so no shuffle is needed.
     """
     keep = [c for c in pages.columns if c != html_col]
@@ -150,7 +195,11 @@ def html_option_list(
         label = F.regexp_replace(text, f"(?s)(?:{cut}).*", "") if cut else text
         return F.struct(plain_text(label).alias("name"), F.trim(code).alias("code"))
 
-    items = _once(area, lambda text: F.zip_with(_all(text, item, 1), _all(text, item, 2), entry))
+    def codes(text: Column) -> Column:
+        first, *others = [_all(text, item, g) for g in code_groups]
+        return reduce(lambda a, b: F.zip_with(a, b, F.concat), others, first)
+
+    items = _once(area, lambda text: F.zip_with(codes(text), _all(text, item, text_group), entry))
     wanted = F.filter(
         items,
         lambda i: (i["code"] != "") & ~i["code"].isin(deny_codes or [""])
@@ -170,13 +219,12 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 def caption_coordinates(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Latitude and longitude of the page caption; none found: NULL."""
     keep = [c for c in pages.columns if c != html_col]
-    part = r"\s+(\d+\s*o\s*\d+(?:\.\d+)?'\s*[%s])"
 
     def located(text: Column) -> Column:
-        return F.struct(
-            parse_coordinate(F.regexp_extract(text, "Lat" + part % "NS", 1)).alias("latitude"),
-            parse_coordinate(F.regexp_extract(text, "Lon" + part % "EW", 1)).alias("longitude"),
-        )
+        # A coordinate stands right after its label, before the next one.
+        latitude = F.regexp_extract(text, r"\bLat\b(.*?)(?:\bLon\b|$)", 1)
+        longitude = F.regexp_extract(text, r"\bLon\b(.*)", 1)
+        return F.struct(parse_coordinate(latitude).alias("latitude"), parse_coordinate(longitude).alias("longitude"))
 
     text = _once(F.regexp_extract(F.col(html_col), CAPTION, 1), plain_text)
     return pages.select(*keep, _once(text, located).alias("_at")).select(

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from bloomline.session import materialize
+
+LISTED = 10_000  # most models or years of an upsert that are broadcast; longer lists are joined by shuffle
+
 
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
@@ -14,14 +20,35 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Delete the key values present in ``df`` and write its rows, in one commit."""
+def replace_partitions(
+    df: DataFrame, path: str, keys: list[str], values: list[tuple] | None = None
+) -> None:
+    """Delete key values and write the rows of ``df``, in one commit.
+
+    The deleted keys are those present in ``df``, and with ``values`` those too:
+    a reload that finds nothing for a key then leaves nothing. Dynamic overwrite
+    leaves partitions alone that get no row, so such a key is cleared after it.
+    """
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)
     )
+    for value in values or []:
+        named = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(v)) for k, v in zip(keys, value)])
+        if df.where(named).isEmpty():
+            clear_partition(df.sparkSession, path, keys, value)
+
+
+def clear_partition(spark: SparkSession, path: str, keys: list[str], value: tuple) -> None:
+    """Overwrite one partition's folder with a table of no rows."""
+    existing = read_if_present(spark, path)
+    if existing is None:
+        return
+    folder = "/".join([path, *[f"{k}={v}" for k, v in zip(keys, value)]])
+    if read_if_present(spark, folder) is not None:
+        existing.drop(*keys).limit(0).write.mode("overwrite").parquet(folder)
 
 
 def upsert_cross(
@@ -38,7 +65,11 @@ def upsert_cross(
     """
     kept = existing
     for i, col in enumerate(crossed):
-        listed = new.select(*within, col).distinct().withColumn(f"_hit{i}", F.lit(True))
+        listed = materialize(new.select(*within, col).distinct(), "listed").withColumn(f"_hit{i}", F.lit(True))
+        # A handful of models and years, each on a large share of the stored rows: sent to all
+        # tasks after a look at its length, so that the stored rows are not shuffled on them.
+        if listed.limit(LISTED + 1).count() <= LISTED:
+            listed = F.broadcast(listed)
         kept = kept.join(listed, on=[*within, col], how="left")
     hit = F.col("_hit0").isNotNull() & F.col("_hit1").isNotNull()
     return kept.where(~hit).select(existing.columns).unionByName(new.select(existing.columns))

@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from bloomline.config import VISIT_SPOTS
 from bloomline.functions import codes, dates, labels, text
 
 D = dt.date
@@ -121,6 +120,6 @@ def test_visit_spots(spark):
     from bloomline.operators.serving import spots_table, visit_spots
 
     stations = spark.createDataFrame([("Tokyo",), ("Nowhere",)], "station_name string")
-    rows = visit_spots(stations, spots_table(spark, VISIT_SPOTS)).collect()
-    assert {(r.station_name, r.spot) for r in rows} == {("Tokyo", s) for s, _ in VISIT_SPOTS["TOKYO"]}
-    assert len(VISIT_SPOTS) == 10 and all(len(v) == 4 for v in VISIT_SPOTS.values())
+    spots = {"TOKYO": [("East Garden", "North"), ("River Walk", "South")], "ELSEWHERE": [("Hill", "West")]}
+    rows = visit_spots(stations, spots_table(spark, spots)).collect()
+    assert {(r.station_name, r.spot) for r in rows} == {("Tokyo", "East Garden"), ("Tokyo", "River Walk")}

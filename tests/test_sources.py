@@ -121,6 +121,36 @@ def test_caption(spark):
     assert got == {"a": (35.653333, 136.061667), "b": (None, None)}
 
 
+@pytest.mark.parametrize("caption, at", [
+    ("<caption class='m'>Lat 35&deg;30&#8242;N Lon 10&#xB0;0'W</caption>", (35.5, -10.0)),
+    ("<caption id=x class='big m'>Lat 35&#176;30'15\"S Lon 12.5 E</caption>", (-35.504167, 12.5)),
+    ("<CAPTION CLASS=m>Lat 1o0'N</CAPTION>", (1.0, None)),
+    ("<caption class='mm'>Lat 1o0'N Lon 1o0'E</caption>", (None, None)),
+])
+def test_caption_spellings(spark, caption, at):
+    row = html.caption_coordinates(spark.createDataFrame([(caption,)], "html string")).first()
+    assert (row.latitude, row.longitude) == at
+
+
+def test_option_spellings(spark):
+    page = "<SELECT id=s name='block_no'><option selected value='1'>A<option value=2>B</option><option value=\"3\" x>C</option></SELECT>"
+    rows = html.html_option_list(spark.createDataFrame([(page,)], "html string")).collect()
+    assert [(r.code, r.name) for r in rows] == [("1", "A"), ("2", "B"), ("3", "C")]
+
+
+def test_table_spellings(spark):
+    rows = lambda page: [(r.parse_error, r.cells) for r in html.html_table_rows(
+        spark.createDataFrame([(page,)], "html string")).collect()]
+    # Cells and rows without end tags, a cell over two columns, entities.
+    assert rows("<table></table><table><tr><td>a<td colspan=2>b&#38;c<tr><th>d</th><td colspan='0'>&deg;</table>") == [
+        (None, ["a", "b&c", "b&c"]), (None, ["d", "\u00b0"])]
+    # A table within the first one is the second table.
+    assert rows("<table><tr><td><table><tr><td>in</td></tr></table></td></tr></table>") == [(None, ["in"])]
+    # What can't be read says so.
+    assert rows("<table></table><table><tr><td>x<table></table></td></tr></table>")[0][0].startswith("table holds another")
+    assert rows("<table></table><table><tr><td>x")[0][0].startswith("table holds another")
+
+
 def test_contract(spark):
     now = dt.datetime(2026, 1, 1)
     df = spark.createDataFrame(
