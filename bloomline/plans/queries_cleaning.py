@@ -283,22 +283,27 @@ def _(spark, sf):
     return long.where(F.col("event_date_raw").isNotNull()).select("station_code_raw", "year", "event_date_raw")
 
 
+#: Every month of the years that a supplier has shipments in; months without any stay, as NULL.
+ALL_MONTHS = """(SELECT l_suppkey, year, CAST(m AS INTEGER) AS month FROM
+  (SELECT DISTINCT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year FROM lineitem) AS years, range(1, 13) AS months(m)) AS cells
+LEFT JOIN wide_values USING (l_suppkey, year, month)"""
+
+
 @query("unpivot_months", with_("wide_values", f"""
 SELECT CAST({a.STATION_BASE} + l_suppkey AS VARCHAR) AS station_code, year, month, mean_temp_c
-FROM wide_values"""), doubles="mean_temp_c")
+FROM {ALL_MONTHS}"""), doubles="mean_temp_c")
 def _(spark, sf):
     wide = a.month_columns(a.wide_months(spark, sf), "t_")
-    long = reshape.unpivot_months(wide, ["station_code"], "mean_temp_c")
-    return long.where(F.col("mean_temp_c").isNotNull())
+    return reshape.unpivot_months(wide, ["station_code"], "mean_temp_c")
 
 
 @query("join_full_outer", with_("wide_values", f"""
 SELECT CAST({a.STATION_BASE} + l_suppkey AS VARCHAR) AS station_code, 'Station ' || l_suppkey AS station_name,
        year, month, mean_temp_c, precipitation_mm
-FROM wide_values"""), doubles="mean_temp_c precipitation_mm")
+FROM {ALL_MONTHS}"""), doubles="mean_temp_c precipitation_mm")
 def _(spark, sf):
     measures, _ = jobs.parse_climate(a.climate_pages(spark, sf))
-    return measures.where(F.coalesce("mean_temp_c", "precipitation_mm").isNotNull())
+    return measures
 
 
 @query("html_table_rows", f"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from bloomline.config import PRECIP_VIEW
 from bloomline.operators import serving
 from bloomline.plans import adapters as a, jobs
 from bloomline.plans.registry import query
@@ -52,7 +53,38 @@ def monthly_checks(spark: SparkSession, sf: str) -> DataFrame:
         warehouse(spark, "monthly-checks"), landing(spark, sf), a.AUTUMN_RUN, a.RUN_TIME, "shipments")
 
 
-@query("raw_load_summary")
+@query("raw_load_summary", """
+SELECT 12 * years AS rows_prepared, 12 * years - months AS missing_mean_temp_c,
+       12 * years - months AS missing_precipitation_mm, CAST(0 AS BIGINT) AS failed_items
+FROM (SELECT count(DISTINCT (l_suppkey, year(l_shipdate))) AS years,
+             count(DISTINCT (l_suppkey, year(l_shipdate), month(l_shipdate))) AS months FROM lineitem) AS n""")
 def raw_load_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Parse the landed pages and files into raw tables; rows, gaps and failures."""
     return jobs.run_raw(warehouse(spark, "raw"), landing(spark, sf), a.RUN_TIME, "shipments")
+
+
+BROKEN, UNLISTED = 7, 5
+
+
+@query("station_failures", f"""
+SELECT CAST({a.STATION_BASE} + l_suppkey AS VARCHAR) AS station_code,
+       CASE WHEN l_suppkey % {BROKEN} = 0 THEN 0 ELSE 12 * count(DISTINCT year(l_shipdate)) END AS n_rows,
+       CASE WHEN l_suppkey % {BROKEN} = 0 THEN 'expected at least 2 tables, got 0' END AS parse_error
+FROM lineitem WHERE l_suppkey % {UNLISTED} <> 0 AND CAST({a.STATION_BASE} + l_suppkey AS VARCHAR) NOT IN ('{a.STATION_BASE + 1}')
+GROUP BY l_suppkey""")
+def station_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each listed station; one whose precipitation page is broken fails as a whole."""
+    number = F.col("station_code").cast("long") - a.STATION_BASE
+    pages = a.climate_pages(spark, sf).withColumn(
+        "html", F.when((number % BROKEN == 0) & (F.col("view") == PRECIP_VIEW), "<p>maintenance</p>").otherwise(F.col("html")))
+    # A list page per nation; retired stations carry the marker in their name.
+    option = F.format_string("<option value='%s'>Station %s%s</option>", F.col("station_code"), F.col("s_suppkey").cast("string"),
+                             F.when(F.col("s_suppkey") == 1, " (OLD)").otherwise(""))
+    listing = (
+        a.table(spark, sf, "supplier").where(F.col("s_suppkey") % UNLISTED != 0)
+        .withColumn("station_code", a.station_code(F.col("s_suppkey")))
+        .groupBy("s_nationkey").agg(F.concat_ws("", F.lit("<select name=block_no>"), F.collect_list(option), F.lit("</select>")).alias("html"))
+    )
+    measures, failed = jobs.parse_climate(jobs.listed_stations(pages, listing.select("html")))
+    loaded = measures.groupBy("station_code").agg(F.count("*").alias("n_rows")).withColumn("parse_error", F.lit(None).cast("string"))
+    return loaded.unionByName(failed.select("station_code", F.lit(0).cast("long").alias("n_rows"), "parse_error"))

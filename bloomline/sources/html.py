@@ -197,7 +197,7 @@ def html_option_list(
 
     def codes(text: Column) -> Column:
         first, *others = [_all(text, item, g) for g in code_groups]
-        return reduce(lambda a, b: F.zip_with(a, b, F.concat), others, first)
+        return reduce(lambda a, b: F.zip_with(a, b, lambda x, y: F.concat(x, y)), others, first)
 
     items = _once(area, lambda text: F.zip_with(codes(text), _all(text, item, text_group), entry))
     wanted = F.filter(
