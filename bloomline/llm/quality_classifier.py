@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from bloomline.llm import ragged
 
+SLICE_BYTES = 2 << 20  # text whose n-grams are in memory at once
 WORDS, PIECES, REPEAT, CLOSE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0, 1
 
 
@@ -79,7 +80,7 @@ def bags(column: pa.Array, settings: Settings) -> list[tuple[np.ndarray, np.ndar
         # Repeats weigh as much as all n-grams of the word they repeat.
         counts = counts.astype(np.float32)
         counts[found == REPEAT] *= max(1.0, len(at) / max(1, offsets[i + 1] - offsets[i]))
-        out.append((found, counts / counts.sum()))
+        out.append((found.astype(np.int32), counts / counts.sum()))
     return out
 
 
@@ -147,7 +148,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, folds: int, settings: Se
 
     def learn(table: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending"), ("text", "ascending")])
-        rows, y = bags(ragged.texts(table, "text"), settings), np.asarray(table["label"]).astype(np.int64)
+        rows = [bag for part in ragged.slices(table.combine_chunks().to_batches(), "text", SLICE_BYTES)
+                for bag in bags(ragged.texts(part, "text"), settings)]
+        y = np.asarray(table["label"]).astype(np.int64)
         weights = train(rows, y, settings) if 0 < y.sum() < len(y) else np.zeros(1 << settings.bits, np.float32)
         # The classes were sampled at rates of their own; the constant restores the shares among all labels.
         shift = np.log(max(shares.get(1, 0), 0.5) / max(shares.get(0, 0), 0.5)) - np.log(max(y.sum(), 0.5) / max((1 - y).sum(), 0.5))
@@ -186,13 +189,13 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", fo
 
     if keep:
         def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in ragged.slices(batches, text):
+            for batch in ragged.slices(batches, text, SLICE_BYTES):
                 yield batch.filter(pa.array(scores(ragged.texts(batch, text)) >= threshold))
 
         return docs.mapInArrow(filtered, docs.schema)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in ragged.slices(batches, "text"):
+        for batch in ragged.slices(batches, "text", SLICE_BYTES):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(scores(ragged.texts(batch, "text")))], names=["key", "held_out", "score"])
 
