@@ -109,18 +109,20 @@ def topics(values: pa.Array, index: np.ndarray, offsets: np.ndarray, centres: np
     Words come first, in order, then the ends. Nothing before: one topic of its own.
     """
     data, edges = ragged.raw_bytes(values)
-    dots = np.stack([ragged.segment_sum(c[CLASSES[data]], edges) for c in centres], axis=1)[index]
-    sizes = np.diff(edges)[index].astype(np.float64)
-    norm = (centres ** 2).sum(axis=1)
-    running = np.concatenate([np.zeros((1, len(centres))), np.cumsum(dots, axis=0)])
-    length = np.concatenate([[0.0], np.cumsum(sizes)])
+    length = np.concatenate([[0.0], np.cumsum(np.diff(edges)[index], dtype=np.float64)])
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     at = np.concatenate([np.arange(len(index)), offsets[1:]])
     start = np.concatenate([offsets[:-1][owner], offsets[:-1]])
     before = length[at] - length[start]
-    # Rounded, so that the same beginning has the same topic wherever its text lies in a slice.
-    score = np.round(norm - 2 * (running[at] - running[start]) / np.maximum(1, before)[:, None], 9)
-    return np.where(before > 0, np.argmin(score, axis=1), len(centres))
+    found, least = np.zeros(len(at), dtype=np.int64), np.full(len(at), np.inf)
+    for n, centre in enumerate(centres):
+        dots = ragged.segment_sum(centre[CLASSES[data]], edges)[index]
+        running = np.concatenate([[0.0], np.cumsum(dots)])
+        # Rounded, so that the same beginning has the same topic wherever its text lies in a slice.
+        score = np.round((centre ** 2).sum() - 2 * (running[at] - running[start]) / np.maximum(1, before), 9)
+        found[score < least] = n
+        least = np.minimum(least, score)
+    return np.where(before > 0, found, len(centres))
 
 
 class Trie:
