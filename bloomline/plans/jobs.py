@@ -7,6 +7,7 @@ a rerun after a lost executor or a failed step starts from written tables.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -26,7 +27,12 @@ from bloomline.sources.contracts import conform, verify
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Parquet tables below one root, a folder per layer and table."""
+    """Parquet tables below one root, a folder per layer and table.
+
+    A rebuilt table is written to a new folder and takes effect with a row in
+    the commit log, which readers resolve. One append to the log, a single file,
+    switches any number of tables. Older folders stay until they are cleaned.
+    """
 
     spark: SparkSession
     root: str
@@ -36,12 +42,34 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def current(self) -> dict[str, tuple[int, str]]:
+        """Last commit number and folder of each rebuilt table: a row per table."""
+        log = sinks.read_if_present(self.spark, self.path("_commits"))
+        if log is None:
+            return {}
+        last = log.groupBy("name").agg(F.max("number").alias("number"), F.max_by("folder", "number").alias("folder"))
+        return {r["name"]: (r["number"], r["folder"]) for r in last.collect()}
+
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        found = self.current().get(name)
+        return self.spark.read.parquet(self.path(found[1] if found else name))
+
+    def stage(self, name: str, df: DataFrame) -> str:
+        """Write a table's next version; readers don't see it before ``commit``."""
+        folder = f"{name}/{uuid.uuid4().hex}"
+        df.write.parquet(self.path(folder))
+        return folder
+
+    def commit(self, folders: dict[str, str]) -> None:
+        """Switch tables to staged folders, all at once."""
+        number = 1 + max((n for n, _ in self.current().values()), default=0)
+        rows = [(number, name, folder) for name, folder in folders.items()]
+        log = self.spark.createDataFrame(rows, "number long, name string, folder string")
+        sinks.append(log.coalesce(1), self.path("_commits"))
 
     def rebuild(self, name: str, df: DataFrame) -> DataFrame:
         """Replace a table by a query over other tables."""
-        sinks.overwrite(df, self.path(name))
+        self.commit({name: self.stage(name, df)})
         return self.read(name)
 
 
@@ -140,17 +168,18 @@ def build_marts(
 
 
 def run_marts(wh: Warehouse, as_of: dt.date | Column | None = None) -> None:
-    """Write the marts, then both feature tables from the written facts."""
+    """Write the marts, then both feature tables from the written facts; one commit for all."""
     layer = build_marts(
         wh.read("staging/climate"), wh.read("staging/events"), wh.read("staging/metadata"), wh.station_base
     )
-    for name, df in layer.items():
-        wh.rebuild(f"marts/{name}", df)
-    events, climate = wh.read("marts/fact_events"), wh.read("marts/fact_climate")
-    wh.rebuild("marts/training_features", features.training_features(events, climate, width=wh.width))
-    wh.rebuild(
-        "marts/prediction_features", features.prediction_features(events, climate, as_of, width=wh.width)
-    )
+    folders = {f"marts/{name}": wh.stage(f"marts/{name}", df) for name, df in layer.items()}
+    written = lambda name: wh.spark.read.parquet(wh.path(folders[f"marts/{name}"]))
+    events, climate = written("fact_events"), written("fact_climate")
+    built = {
+        "training_features": features.training_features(events, climate, width=wh.width),
+        "prediction_features": features.prediction_features(events, climate, as_of, width=wh.width),
+    }
+    wh.commit(folders | {f"marts/{name}": wh.stage(f"marts/{name}", df) for name, df in built.items()})
 
 
 def run_forecast(

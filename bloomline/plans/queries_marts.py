@@ -188,9 +188,10 @@ SELECT (SELECT location_code FROM station_mae ORDER BY station_mae, location_cod
        max(station_mae) AS worst_mae, count(*) AS stations
 FROM station_mae"""), doubles="best_mae worst_mae")
 def _(spark, sf):
-    scored = scores(spark, sf)
+    scored = materialize(scores(spark, sf), "scores")
     best = model.choose(a.baseline_metrics(scored)).where("is_best_model").select("model_name")
-    of_best = scored.join(best, on="model_name", how="left_semi")
+    # A single row.
+    of_best = scored.join(F.broadcast(best), on="model_name", how="left_semi")
     return model.station_extremes(model.metrics_per_group(of_best, ["location_code"]))
 
 

@@ -118,7 +118,7 @@ SELECT fact_rows, staging_rows_with_date, fact_rows - staging_rows_with_date AS
 FROM (SELECT (SELECT count(*) FROM fact_events) AS fact_rows,
              (SELECT count(*) FROM stg_events WHERE event_date IS NOT NULL) AS staging_rows_with_date) AS c"""))
 def _(spark, sf):
-    staged = a.staged_events(spark, sf)
+    staged = stored(a.staged_events, spark, sf)
     return quality.reconcile(
         marts.fact_events(staged), staged.where(F.col("event_date").isNotNull()),
         ("fact_rows", "staging_rows_with_date"),
@@ -305,4 +305,5 @@ def _(spark, sf):
         F.lit("observed").alias("model_name"), F.lit("v0").alias("model_version"),
         timestamp(a.RUN_TIME).alias("trained_at"), F.lit("predicted").alias("prediction_status"), "source_name",
     )
-    return contracts.verify(contracts.conform(e, FORECAST), FORECAST)
+    # Verification reads the rows twice.
+    return contracts.verify(materialize(contracts.conform(e, FORECAST), "conformed"), FORECAST)

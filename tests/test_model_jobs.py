@@ -8,10 +8,15 @@ from pyspark.sql import functions as F
 from bloomline.config import CANDIDATE_MODELS, FEATURES, FIRST_BLOOM
 from bloomline.operators import features, forecast as fc, model, quality
 from bloomline.plans import adapters as a, jobs, queries_jobs
-from bloomline.plans.queries_marts import REGISTERED_CANDIDATES
 
 SF = "/root/testdata/sf0.001"
 NOW = dt.datetime(2026, 1, 2, 3, 4, 5)
+#: Small fits for planted rows; the registered queries use the configured sizes.
+SMALL_CANDIDATES = {
+    "linear_regression": CANDIDATE_MODELS["linear_regression"],
+    "random_forest": {**CANDIDATE_MODELS["random_forest"], "numTrees": 20},
+    "hist_gradient_boosting": {**CANDIDATE_MODELS["hist_gradient_boosting"], "maxIter": 10},
+}
 
 
 def planted(spark, n=400):
@@ -65,7 +70,7 @@ def test_champion_is_the_lowest_error(spark):
 
 def test_candidates_recover_a_planted_line(spark):
     assert set(CANDIDATE_MODELS) == set(model.BUILDERS)
-    rows, best = model.select_best_model(model.hash_split(planted(spark)), REGISTERED_CANDIDATES, folds=2)
+    rows, best = model.select_best_model(model.hash_split(planted(spark)), SMALL_CANDIDATES, folds=2)
     assert [r["cv_mae_days"] for r in rows] == sorted(r["cv_mae_days"] for r in rows)
     assert rows[0]["model_name"] == "linear_regression" and rows[0]["r2_score"] > 0.9
     scored = model.with_prediction(best, planted(spark))
@@ -134,6 +139,33 @@ def test_run_all_passes_its_checks(finished):
     assert {"fact_climate: unique station_code, date_key", "dim_station: rows"} <= {r.check_name for r in report}
 
 
+def test_null_precipitation_raises(spark):
+    rows = planted(spark, 50).withColumn(FEATURES[6], F.when(F.col("year") > 1980, F.col(FEATURES[6])))
+    with pytest.raises(ValueError, match="winter_precipitation_mm"):
+        model.validate_features(model.training_set(rows))
+
+
+def test_failed_marts_leave_the_old_ones(spark, tmp_path, monkeypatch):
+    """All marts of a run appear with one commit; a run that fails midway leaves those of the run before."""
+    wh = jobs.Warehouse(spark, str(tmp_path), a.STATION_BASE, a.WIDTH)
+    for name, table in (("climate", a.staged_climate), ("events", a.staged_events), ("metadata", a.metadata)):
+        wh.rebuild(f"staging/{name}", table(spark, SF))
+    jobs.run_marts(wh, a.AUTUMN_RUN)
+    before = {name: sorted(map(str, wh.read(f"marts/{name}").collect())) for name in jobs.CHECKED}
+    wh.rebuild("staging/events", wh.read("staging/events").limit(3))
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(features, "prediction_features", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        jobs.run_marts(wh, a.AUTUMN_RUN)
+    assert before == {name: sorted(map(str, wh.read(f"marts/{name}").collect())) for name in jobs.CHECKED}
+    monkeypatch.undo()
+    jobs.run_marts(wh, a.AUTUMN_RUN)
+    assert wh.read("marts/fact_events").count() <= 3
+
+
 def test_forecast_without_training_rows(spark, finished, tmp_path):
     wh = jobs.Warehouse(spark, str(tmp_path))
     done = finished[0]
