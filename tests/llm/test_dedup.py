@@ -133,8 +133,12 @@ def plain_passages(rows, least=20, similarity=0.8):
         docs[(key, text)] = plain_paragraphs(text)
     units = sorted({tuple(w) for found in docs.values() for _, _, w in found})
     sets = [{u[i:i + 5] for i in range(len(u) - 4)} for u in units]
-    near = [(i, j) for i in range(len(units)) for j in range(i)
-            if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j])]
+    holders = defaultdict(list)
+    for i, shingles in enumerate(sets):
+        for s in shingles:
+            holders[s].append(i)
+    pairs = {(i, j) for found in holders.values() for i in found for j in found if j < i}
+    near = [(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j])]
     root = dict(zip(units, groups(len(units), near)))
     last = 2**63 - 1
     order = lambda k: last if k is None else k
