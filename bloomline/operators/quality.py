@@ -119,13 +119,15 @@ def load_summary(good: DataFrame, reject: DataFrame, cols: list[str]) -> DataFra
 class Check:
     """A named one-row or many-row result, reported as (metric, value).
 
-    ``frame`` holds numeric metrics only. ``passes`` maps the value to a verdict;
-    without it a check only informs.
+    ``frame`` holds numeric metrics, and the columns named in ``keys``, whose
+    values follow the metric's name in brackets. ``passes`` maps the value to a
+    verdict; without it a check only informs.
     """
 
     name: str
     frame: DataFrame
     passes: Callable[[Column], Column] | None = None
+    keys: tuple[str, ...] = ()
 
 
 def count_check(name: str, rows: DataFrame, passes=lambda v: v == 0) -> Check:
@@ -136,9 +138,12 @@ def count_check(name: str, rows: DataFrame, passes=lambda v: v == 0) -> Check:
 def run_checks(checks: list[Check]) -> DataFrame:
     """All checks in order as (position, check_name, metric, value, passed)."""
     def report(i: int, check: Check) -> DataFrame:
-        metrics = check.frame.columns
-        values = check.frame.select([F.col(c).cast("double").alias(c) for c in metrics])
-        long = values.unpivot([], metrics, "metric", "value")
+        metrics = [c for c in check.frame.columns if c not in check.keys]
+        group = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in check.keys])
+        values = check.frame.select(group.alias("_group"), *[F.col(c).cast("double").alias(c) for c in metrics])
+        long = values.unpivot(["_group"], metrics, "metric", "value")
+        if check.keys:
+            long = long.withColumn("metric", F.concat("metric", F.lit("["), "_group", F.lit("]")))
         verdict = check.passes(F.col("value")) if check.passes else F.lit(None).cast("boolean")
         return long.select(
             F.lit(i).alias("position"), F.lit(check.name).alias("check_name"),

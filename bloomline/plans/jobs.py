@@ -249,6 +249,33 @@ def standard_checks(tables: dict[str, DataFrame]) -> list[quality.Check]:
         quality.Check("fact_events: unmatched dates", quality.orphans(
             tables["fact_events"], tables["dim_date"], "date_key"), zero),
     ]
+    grouped = lambda name, frame, *keys: quality.Check(name, frame, keys=keys)
+    climate, dates = tables["fact_climate"], tables["dim_month"]
+    checks += [
+        quality.Check("fact_climate: years", quality.range_distinct(
+            climate.select(F.year("date_key").alias("year")), "year")),
+        quality.Check("fact_climate: filled", quality.null_counts(climate, ["mean_temp_c", "precipitation_mm"])),
+        grouped("fact_climate: by station", quality.group_by_dim(
+            climate, tables["dim_station"], "station_code", "station_name"), "station_name"),
+        grouped("fact_climate: by season", quality.group_by_dim(
+            climate, dates, "date_key", "season", "mean_temp_c"), "season"),
+        grouped("fact_climate: by quarter", quality.distribution(
+            climate.select(F.quarter("date_key").alias("quarter")), ["quarter"]), "quarter"),
+    ]
+    if "stg_events" in tables:
+        staged = tables["stg_events"]
+        checks += [
+            quality.Check("fact_events: reconciled", quality.reconcile(
+                tables["fact_events"], staged.where("event_date IS NOT NULL"), ("fact_rows", "staging_rows_with_date")
+            ).select("difference"), zero),
+            quality.Check("stg_events: years", quality.range_distinct(staged, "year")),
+            quality.Check("stg_events: locations", staged.agg(F.count_distinct("location_name").alias("distinct_locations"))),
+            quality.Check("stg_events: missing", quality.null_counts(staged, ["event_date_raw", "location_name"])
+                          .select("null_event_date_raw", "null_location_name")),
+            grouped("stg_events: by year", quality.distribution(staged, ["year"]), "year"),
+            grouped("stg_events: by type", quality.distribution(staged, ["event_type", "data_status"]), "event_type", "data_status"),
+            unique("stg_events", ["location_name", "year", "event_type"]),
+        ]
     if "forecast" in tables:
         required = ["location_code", "forecast_year", "event_type", "model_name", "model_version",
                     "predicted_day_of_year", "predicted_event_date", "is_best_model"]
@@ -267,6 +294,7 @@ CHECKED = ["dim_date", "dim_month", "dim_station", "dim_location", "fact_climate
 
 def run_checks(wh: Warehouse) -> DataFrame:
     tables = {name: wh.read(f"marts/{name}") for name in CHECKED}
+    tables |= {"stg_events": wh.read("staging/events"), "stg_climate": wh.read("staging/climate")}
     forecast = sinks.read_if_present(wh.spark, wh.path("marts/forecast"))
     if forecast is not None:
         tables["forecast"] = forecast
