@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,14 @@ def texts(batch: pa.RecordBatch | pa.Table, name: str) -> pa.Array:
     return pc.fill_null(column, "")
 
 
+def release() -> None:
+    """Give memory that is free but kept by the allocators back to the system: worker processes live long and are many."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], name: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Row slices of at most ``limit`` bytes of text, or of one longer row, which bounds a task's memory."""
     for batch in batches:
@@ -29,6 +38,7 @@ def slices(batches: Iterator[pa.RecordBatch], name: str, limit: int = 8 << 20) -
             done = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, done + limit, side="right")))
             yield batch.slice(start, stop - start)
+            release()
             start = stop
 
 

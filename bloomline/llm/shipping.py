@@ -11,8 +11,14 @@ from pyspark.sql import SparkSession
 _shipped: set[str] = set()
 
 
+ROWS = 1000  # rows of an Arrow batch: whole texts are long, and the default of 10,000 would hold many MB for each worker
+
+
 def ship(spark: SparkSession) -> None:
-    """Hand the package to the executors of this application, once, as a zip that the driver serves."""
+    """Hand the package to the executors of this application, once, as a zip that the driver serves; bound Arrow batches."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(setting)) > ROWS:
+        spark.conf.set(setting, str(ROWS))
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return
