@@ -26,11 +26,26 @@ def release() -> None:
         trim(0)
 
 
-def slices(batches: Iterator[pa.RecordBatch], name: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Row slices of at most ``limit`` bytes of text, or of one longer row, which bounds a task's memory."""
+def _gathered(batches: Iterator[pa.RecordBatch], name: str, limit: int) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
+        if batch.num_rows:
+            own = pc.sum(pc.binary_length(batch.column(name))).as_py() or 0
+            if held and size + own > limit:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+            held.append(batch)
+            size += own
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def slices(batches: Iterator[pa.RecordBatch], name: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Row slices of about ``limit`` bytes of text, or of one longer row, which bounds a task's memory.
+
+    Small batches are put together first, since most operators work once on each distinct word of a slice.
+    """
+    for batch in _gathered(batches, name, limit):
         size = np.asarray(pc.fill_null(pc.binary_length(batch.column(name)), 0), dtype=np.int64)
         ends = np.cumsum(size)
         start = 0
