@@ -16,7 +16,7 @@ from bloomline.llm import ragged
 from bloomline.llm.bpe import merges
 from bloomline.session import materialize
 
-CACHED = 1_000_000  # distinct pieces kept by a worker process; only speed depends on it
+CACHED = 400_000  # distinct pieces kept by a worker process; only speed depends on it
 LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 
 
