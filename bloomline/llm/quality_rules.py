@@ -81,11 +81,11 @@ def ratio_weights(docs: DataFrame, trusted: Column, text: str, bits: int, smooth
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", bits: int = 16, threshold: float = -0.25,
-                  trusted_rows: int = 20_000, key: str = "doc_id", text: str = "text") -> DataFrame:
+                  key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rules and likelihood ratio of every text: ``key``, the base columns, ratio, kept.
 
-    The trusted target is the texts of up to ``trusted_rows`` ids labelled 1
-    (those of lowest XXH64), the raw corpus is all texts. Both are multinomials
+    The trusted target is the texts of all ids labelled 1, the raw corpus is
+    all texts. Both are multinomials
     over hashed symbols and symbol pairs. ``ratio`` is the mean log ratio over the text's n-grams (0 without
     any); a text is kept if the base rules pass and ``ratio`` reaches
     ``threshold``. Null counts as empty and fails; repeated rows are judged
@@ -93,10 +93,10 @@ def judge_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", bi
     Other columns are ignored, whatever their names.
     """
     good = (labels.where((F.col(label) == 1) & F.col(key).isNotNull()).select(F.col(key).alias("key")).distinct()
-            .orderBy(F.xxhash64("key"), "key").limit(trusted_rows).withColumn("trusted", F.lit(1)))
+            .withColumn("trusted", F.lit(1)))
     plain = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    # At most trusted_rows ids: a fixed bound, so the texts need not be shuffled.
-    marked = plain.join(F.broadcast(good), "key", "left")
+    # Trusted ids grow with the corpus: texts and ids meet by id at every size, and counts combine before their shuffle.
+    marked = plain.join(good.hint("merge"), "key", "left")
     weights = ratio_weights(marked, F.coalesce("trusted", F.lit(0)), "text", bits)
     based = base_rules(docs, key, text).withColumn("row", F.monotonically_increasing_id())
     columns = ["row", "key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]

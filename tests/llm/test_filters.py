@@ -65,6 +65,13 @@ def test_ratio_against_counts(spark):
     assert got[2] < got[1]
 
 
+def test_all_trusted_texts_count(spark):
+    """If every text is trusted, both multinomials are the same and all ratios are 0, however many ids there are."""
+    frame = spark.range(20_200).selectExpr("id AS doc_id", "concat('w', char(97 + id % 26), ' x', id) AS text")
+    found = rules.judge_quality(frame, frame.selectExpr("doc_id", "1 AS quality")).where("abs(ratio) > 1e-12")
+    assert found.count() == 0
+
+
 def test_rules_without_labels(docs, labels):
     assert len(rules.judge_quality(docs, labels.limit(0)).collect()) == docs.count()
 
