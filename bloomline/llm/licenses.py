@@ -30,6 +30,15 @@ SENTENCES = {
     "all rights reserved": "reserved",
 }
 
+# Sentences of the standard texts that go on where a short form above ends, or join several of them.
+STANDARD = {
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": ("mitgrant",),
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": ("aswarranty",),
+    "licensed under the apache license version 2.0 the license you may not use this file except in compliance with the license": ("apache2", "apache2use"),
+    "you may obtain a copy of the license at http www.apache.org licenses license-2.0": ("apache2copy",),
+    "you may obtain a copy of the license at https www.apache.org licenses license-2.0": ("apache2copy",),
+}
+
 # Ordered rules (licence, sequence of identifiers, may the text be used); longer sequences first.
 RULES = [
     ("BSD-3-Clause", ("bsdgrant", "bsdsource", "bsdbinary", "bsdname"), True),
@@ -54,17 +63,41 @@ SENTENCE_END = r"([.!?])[\x20\x09-\x0D]+"
 NOISE, EDGES = "[^a-z0-9.-]+", "^[ .]+|[ .]+$"
 
 
-def normalised_sentences(text: str | Column) -> Column:
-    """Sentences with A-Z lower-cased, runs of other characters than a-z, 0-9, dot and hyphen made a blank, edges cut."""
-    cut = F.split(F.regexp_replace(F.translate(text, UPPER, LOWER), SENTENCE_END, "$1\n"), "\n")
-    return F.transform(cut, lambda s: F.regexp_replace(F.regexp_replace(s, NOISE, " "), EDGES, ""))
+#: Where lines don't go on, besides sentence ends: after a copyright line or a colon, before a line without words or a list item.
+COPYRIGHT_LINE = r"(?m)^([\x20\t\r#/*;%!-]*(?:copyright|\(c\))[^\n]*)\n"
+COLON_LINE = r"(?<!free software)(:[\x20\t\r]*)\n"
+NEXT_LINE = r"\n(?=[\x20\t\r]*(?:<!)?[#/*;%!>-]*[\x20\t\r]*(?:\n|[0-9]{1,2}[.)][\x20\t]|\([0-9a-z]\)[\x20\t]))"
+#: Markers that are not noise: dashes that open or close a comment, and the number of a list item.
+MARKERS = r"(?m)^[\x20\t\r]*(?:<!)?--+|--+>|\A[\x20\t\r\n#/*;%!-]*(?:\(?[0-9a-z]{1,2}\)[\x20\t]|-+[\x20\t])"
+
+
+def normalised(sentence: Column) -> Column:
+    """Runs of other characters than a-z, 0-9, dot and hyphen made a blank, edges cut."""
+    return F.regexp_replace(F.regexp_replace(sentence, NOISE, " "), EDGES, "")
+
+
+def sentence_ids(text: str | Column, known: Column) -> Column:
+    """Identifiers of the known sentences of a text, A-Z lower-cased, in order.
+
+    A sentence may be wrapped over lines, with comment markers before each. If
+    its joined lines are not known as a whole, each line counts for itself.
+    """
+    # No A is left in the lower-cased text: it marks where lines don't go on.
+    ends = F.translate(text, UPPER, LOWER)
+    for pattern, by in ((COPYRIGHT_LINE, "$1A"), (SENTENCE_END, "$1A"), (COLON_LINE, "$1A"), (NEXT_LINE, "A")):
+        ends = F.regexp_replace(ends, pattern, by)
+    none = F.array().cast("array<string>")
+    lines = lambda s: F.flatten(F.transform(F.split(s, "\n"), lambda x: F.coalesce(F.try_element_at(known, normalised(x)), none)))
+    whole = lambda s: F.try_element_at(known, normalised(F.regexp_replace(s, MARKERS, " ")))
+    return F.flatten(F.transform(F.split(ends, "A"), lambda s: F.coalesce(whole(s), lines(s))))
 
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", sentences: dict[str, str] | None = None,
                   rules: list[tuple[str, tuple[str, ...], bool]] | None = None) -> DataFrame:
     """Licences stated in every text: ``key``, sentence_ids, licenses, n_unmatched, usable.
 
-    Known sentences become identifiers in text order (comma-joined). Rules are
+    Known sentences, also those wrapped over lines or set in comments, become
+    identifiers in text order (comma-joined). Rules are
     tried in their order; one whose sequence of neighbouring identifiers occurs
     adds its licence (once, comma-joined in rule order) and uses up every such
     occurrence. ``n_unmatched`` counts identifiers that no rule used; ``usable``
@@ -73,8 +106,9 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", sent
     columns are ignored. A narrow stage of built-in functions.
     """
     sentences, rules = sentences or SENTENCES, rules or RULES
-    known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
-    ids = F.filter(F.transform(normalised_sentences("text"), lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
+    values = {s: (i,) for s, i in sentences.items()} | (STANDARD if sentences is SENTENCES else {})
+    known = F.create_map(*[x for s, found in values.items() for x in (F.lit(s), F.array(*[F.lit(i) for i in found]))])
+    ids = sentence_ids("text", known)
     none = F.array().cast("array<string>")
     clue = F.coalesce(F.col("text").rlike(f"(?i){CLUES}"), F.lit(False)) if sentences is SENTENCES else F.col("text").isNotNull()
     found = (docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
@@ -97,7 +131,7 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", sent
 
 
 def oracle() -> str:
-    """The same in DuckDB's SQL over ``documents``, with each rule as a stage of its own."""
+    """The same in DuckDB's SQL over ``documents`` for sentences on one line, without ``STANDARD``; each rule is a stage of its own."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     known = ", ".join(f"({quote(s)}, {quote(i)})" for s, i in SENTENCES.items())
     stages, last = [], "seq"

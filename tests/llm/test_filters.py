@@ -143,6 +143,77 @@ def test_licenses(spark):
     assert {r[0]: r[1:] for r in con.execute(licenses.oracle()).fetchall()} == got
 
 
+MIT = """MIT License
+
+Copyright (c) 2024 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD2 = """Copyright 2024 Someone
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+this list of conditions and the following disclaimer in the documentation
+and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its contributors
+may be used to endorse or promote products derived from this software without
+specific prior written permission.
+"""
+APACHE = """Copyright 2024 Someone
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+"""
+
+
+def test_wrapped_licenses(spark):
+    """The standard texts, wrapped as they are handed out, on one line, and as comments of several languages."""
+    block = lambda start, mark, end: lambda t: start + "".join(f"{mark}{' ' if x else ''}{x}\n" for x in t.split("\n")) + end
+    forms = [lambda t: t, lambda t: t.replace("\n", "\r\n"), block("", "#", ""), block("", "//", ""), block("/*\n", " *", " */\n"), block("", "--", ""),
+             block("<!--\n", "", "-->\n"), lambda t: re.sub(r"(?<!\n)\n(?!\n)", " ", t), lambda t: t.replace("\n\n", "\n")]
+    texts = {"MIT": MIT, "BSD-2-Clause": BSD2, "BSD-3-Clause": BSD3, "Apache-2.0": APACHE, "GPL-3.0-or-later": GPL}
+    # A copyright notice ends with its line.
+    texts["Apache-2.0"], head = APACHE.split("\n", 1)[1], APACHE
+    cases = [(name, form(text)) for name, text in texts.items() for form in forms] + [("Apache-2.0", form(head)) for form in forms[:7]]
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["licenses"], r["n_unmatched"]) for r in licenses.scan_licenses(frame).collect()}
+    assert got == {i: (name, 0) for i, (name, _) in enumerate(cases)}
+
+
 def test_license_rows(docs, texts, empty):
     assert docs.count() == licenses.scan_licenses(docs).count() and licenses.scan_licenses(empty).collect() == []
     assert all(any(c in s for c in licenses.CLUES.split("|")) for s in licenses.SENTENCES if "copyright" not in s and "license" in s)
