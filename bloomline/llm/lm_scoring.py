@@ -274,6 +274,17 @@ def train(mixer: Mixer, trie: Trie, picked: np.ndarray, counts: np.ndarray, orde
         mixer.learn(inputs, gate, x, bit, weight)
 
 
+def observe_all(mixer: Mixer, trie: Trie, picked: np.ndarray, counts: np.ndarray, orders: tuple[int, ...], bits: int, chunk: int) -> None:
+    """Note what came at every training edge, with settled weights."""
+    known = picked[trie.count[picked] > 0]
+    for start in range(0, len(known), chunk):
+        part = known[start:start + chunk]
+        slots = [_slots(c, trie.byte[part], bits) for c in trie.contexts(part, orders)]
+        bit = _bits(trie.byte[part]).ravel()
+        inputs, gate = mixer.inputs(counts, slots, bit, True)
+        mixer.observe(mixer.mix(inputs, gate), gate, bit, np.repeat(trie.count[part], 8))
+
+
 def edge_logs(mixer: Mixer, trie: Trie, picked: np.ndarray, counts: np.ndarray, orders: tuple[int, ...], bits: int, chunk: int) -> np.ndarray:
     """log10 probability of each picked edge's byte: the sum over its eight bits."""
     out = np.zeros(len(trie.byte))
@@ -419,33 +430,49 @@ def _head_counts(shards: DataFrame, settings: Settings) -> np.ndarray:
     return table.reshape(contexts, slots, 2)
 
 
-def _head_weights(shards: DataFrame, head, settings: Settings) -> np.ndarray:
-    """Weights for the first bytes: learned online in every shard, averaged by its tokens."""
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            trie, counts = _trie(row)
-            mixer = Mixer(len(settings.head_orders) + 1, settings)
-            train(mixer, trie, _first(trie, settings), head.value, settings.head_orders, settings.head_bits, settings)
-            flat = mixer.weights.ravel().astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * counts.sum()), pa.array(np.full(len(flat), counts.sum()))],
-                                             names=["at", "w", "n"])
+def _head_mixer(shards: DataFrame, head, settings: Settings) -> Mixer:
+    """The mixer of the first bytes: weights learned online in every shard and averaged by its tokens; then its final
+    table, which sums over all shards what the averaged weights make of their training bits."""
+    fresh = lambda: Mixer(len(settings.head_orders) + 1, settings)
+
+    def summed(fn) -> list[tuple[int, float, float]]:
+        """Sums over shards of a fixed number of values each, and of the tokens behind them."""
+        def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for row in _rows(batches):
+                trie, counts = _trie(row)
+                flat, n = fn(trie, counts.sum()), counts.sum()
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), n))], names=["at", "w", "n"])
+
+        return (shards.select("bytes", "sizes", "counts").mapInArrow(emit, "at long, w double, n double").groupBy("at")
+                .agg(F.sum("w").alias("w"), F.sum("n").alias("n")).where("n > 0 AND NOT isnan(w)").collect())
+
+    def learned(trie: Trie, tokens: float) -> np.ndarray:
+        mixer = fresh()
+        train(mixer, trie, _first(trie, settings), head.value, settings.head_orders, settings.head_bits, settings)
+        return mixer.weights.ravel().astype(np.float64) * tokens
+
+    mixer = fresh()
+    for at, w, n in summed(learned):
+        mixer.weights.ravel()[at] = w / n
+    weights = mixer.weights
+
+    def observed(trie: Trie, tokens: float) -> np.ndarray:
+        settled = fresh()
+        settled.weights = weights
+        observe_all(settled, trie, _first(trie, settings), head.value, settings.head_orders, settings.head_bits, settings.chunk)
+        return settled.seen.ravel()
 
-    mixer = Mixer(len(settings.head_orders) + 1, settings)
-    found = (shards.select("bytes", "sizes", "counts").mapInArrow(emit, "at long, w double, n double").groupBy("at")
-             .agg((F.sum("w") / F.sum("n")).alias("w")).where("w IS NOT NULL AND NOT isnan(w)").collect())
-    for r in found:
-        mixer.weights.ravel()[r["at"]] = r["w"]
-    return mixer.weights
+    for at, w, _ in summed(observed):
+        mixer.seen.ravel()[at] = w
+    return mixer
 
 
-def _shard_scores(shards: DataFrame, head, weights: np.ndarray, settings: Settings) -> DataFrame:
+def _shard_scores(shards: DataFrame, head, opening: Mixer, settings: Settings) -> DataFrame:
     """log10 probability and training count of every token, packed by the slice of documents that asked for it."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             trie, counts = _trie(row)
             first, rest = _first(trie, settings), np.flatnonzero(trie.place > settings.head)
-            opening = Mixer(len(settings.head_orders) + 1, settings)
-            opening.weights = weights
             logs = edge_logs(opening, trie, first, head.value, settings.head_orders, settings.head_bits, settings.chunk)
             mixer = Mixer(len(settings.tail_orders) + 1, settings)
             seen = count_bits(trie, rest, settings.tail_orders, settings.tail_bits, settings.chunk)
@@ -499,8 +526,8 @@ def score_texts(docs: DataFrame, folds: int = 10, settings: Settings = Settings(
     # A row is a shard: spread them before the heavy work.
     spread = merged.repartition(shards, "shard")
     head = spark.sparkContext.broadcast(_head_counts(spread, settings))
-    weights = _head_weights(spread, head, settings)
-    scores = _shard_scores(spread, head, weights, settings)
+    opening = _head_mixer(spread, head, settings)
+    scores = _shard_scores(spread, head, opening, settings)
 
     def finish(texts: pa.Table, scored: pa.Table) -> pa.Table:
         out = []

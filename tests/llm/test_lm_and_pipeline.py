@@ -56,6 +56,20 @@ def test_held_out_rows_teach_nothing(spark):
     assert score([(keys[0], "words of text")]) == pytest.approx(score([(keys[0], "words of text"), (keys[1], "words " * 500)]), abs=1e-9)
 
 
+def test_first_bytes_keep_the_final_table(spark, monkeypatch):
+    """The first bytes' final table holds all of their training bits, over all shards, and changes what it refines."""
+    kept = []
+    scores = lm._shard_scores
+    monkeypatch.setattr(lm, "_shard_scores", lambda shards, head, opening, settings: kept.append(opening) or scores(shards, head, opening, settings))
+    rows = [(k, "one two three four five six " * 3 + f"w{k}") for k in range(300)]
+    lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), settings=SMALL)
+    bits = 8 * sum(min(len(w) + 1, SMALL.head) for key, text in rows if not held(key) for w in tokens(text))
+    assert kept[0].seen.sum() == bits
+    gate, step = divmod(int(kept[0].seen.sum(axis=1).argmax()), kept[0].steps)
+    x = np.array([step - 11.5]), np.array([gate])
+    assert kept[0].refine(*x) != lm.Mixer(len(SMALL.head_orders) + 1, SMALL).refine(*x)
+
+
 def test_probabilities_sum_to_one():
     """After any prefix the 256 bytes that can follow share the probability."""
     words = sorted([b"Athe ", b"Athere ", b"Athen ", b"Bthe ", b"Aother "])
