@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bloomline.llm import (
-    decontamination, licenses, lm_scoring, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_counts,
-    url_filters,
+    decontamination, licenses, lm_scoring, packing, periodic_runs, quality_classifier, quality_rules, simhash, substring_dedup,
+    token_counts, url_filters,
 )
 from bloomline.llm.shipping import ship
 
@@ -118,3 +118,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", decontamination.items_digest(F.col("items")).alias("items_sha256"),
                         "contaminated")
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.looped(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), periodic_runs.strongest(F.col("runs")).alias("best"),
+                        periodic_runs.runs_text(F.col("runs")).alias("lines"), "collapsed").select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
