@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bloomline.llm import (
     decontamination, licenses, lm_scoring, packing, periodic_runs, quality_classifier, quality_rules, simhash, substring_dedup,
-    token_counts, url_filters,
+    suffix_dedup, token_counts, url_filters,
 )
 from bloomline.llm.shipping import ship
 
@@ -129,3 +129,11 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
         F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query("op13_suffix_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
