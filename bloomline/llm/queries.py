@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bloomline.llm import (
-    decontamination, licenses, lm_scoring, packing, periodic_runs, quality_classifier, quality_rules, simhash, substring_dedup,
+    decontamination, licenses, lm_scoring, packing, periodic_runs, prefix_trie, quality_classifier, quality_rules, simhash, substring_dedup,
     suffix_dedup, token_counts, url_filters,
 )
 from bloomline.llm.shipping import ship
+from bloomline.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,6 +121,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "contaminated")
 
 
+@query("op11_prefix_trie", prefix_trie.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = materialize(prefix_trie.encode_turns(table(spark, sf_dir, "conversations")), "turns")
+    return prefix_trie.prefix_trie(prefix_trie.shared_sequences(turns)).drop("key")
+
+
 @query("op12_periodic_runs")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.periodic_runs(periodic_runs.looped(table(spark, sf_dir, "documents")))
