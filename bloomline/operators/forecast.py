@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bloomline.config import CANDIDATE_MODELS, FEATURES, MODEL_VERSION
 from bloomline.functions.dates import doy_to_date, predicted_doy, timestamp
 from bloomline.functions.labels import prediction_status
-from bloomline.operators.model import fit_final_model, validate_features, with_prediction
+from bloomline.operators.model import Model, fit_final_model, save_model, validate_features, with_prediction
 from bloomline.operators.quality import union_all
 from bloomline.schemas import FORECAST
 from bloomline.sources.contracts import conform
@@ -79,7 +78,7 @@ def build_all(
     trained_at: dt.datetime,
     station_metrics: DataFrame | None = None,
     candidates: dict[str, dict] = CANDIDATE_MODELS,
-    fitted: dict[str, PipelineModel] | None = None,
+    fitted: dict[str, Model] | None = None,
     model_version: str = MODEL_VERSION,
 ) -> DataFrame:
     """Forecasts of every candidate refitted on all rows; the first of ``selection`` is best."""
@@ -127,10 +126,10 @@ def metadata_row(
 
 
 def save_artifact(
-    model: PipelineModel, metadata: DataFrame, path: str, station_metrics: DataFrame | None = None
+    model: Model, metadata: DataFrame, path: str, station_metrics: DataFrame | None = None
 ) -> None:
     """Model, its JSON document, and the per-station metrics as their own JSON rows."""
-    model.write().overwrite().save(f"{path}/model")
+    save_model(metadata.sparkSession, model, f"{path}/model")
     metadata.coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
     if station_metrics is not None:
         station_metrics.write.mode("overwrite").json(f"{path}/station_metrics")

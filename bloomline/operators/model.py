@@ -1,19 +1,25 @@
-"""Training sets, splits, candidate regressors, metrics and model choice on MLlib."""
+"""Training sets, splits, candidate regressors, metrics and model choice."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+import numpy as np
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bloomline.config import (
     CANDIDATE_MODELS, CV_FOLDS, FEATURES, FIRST_BLOOM, REQUIRED_FEATURES, SEED, TARGET, TEST_PERCENT,
 )
+from bloomline.operators.boosting import BoostedTrees, Settings, fit_boosted
+from bloomline.operators.linear import LinearModel, fold_models, gram_sums, held_out_prediction, solve, total
 from bloomline.session import ensure_checkpoint_dir
 
 ROW_KEY = ["location_code", "year", "event_type"]
@@ -62,40 +68,87 @@ def cv_fold(df: DataFrame, keys: list[str] = ROW_KEY, folds: int = CV_FOLDS) ->
     return df.withColumn("fold", _bucket(keys, 9, folds))
 
 
-def _linear(**params) -> Estimator:
-    return LinearRegression(**params)
+Model = LinearModel | BoostedTrees | PipelineModel
 
 
-def _forest(**params) -> Estimator:
-    return RandomForestRegressor(
-        featureSubsetStrategy="all", seed=SEED, cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=128, **params)
+@dataclass(frozen=True)
+class Fitted:
+    """A candidate: mean and spread of its validation errors, its fit on the training rows, and its fit on all rows."""
+    mae: float
+    spread: float
+    model: Model
+    final: Model
 
+    @property
+    def kind(self) -> str:
+        own = self.model
+        return type(own.stages[-1] if isinstance(own, PipelineModel) else own).__name__
 
-def _boosting(**params) -> Estimator:
-    return GBTRegressor(seed=SEED, checkpointInterval=10, **params)
 
+def forest(params: dict, features: list[str] = FEATURES) -> Pipeline:
+    regressor = RandomForestRegressor(
+        featureSubsetStrategy="all", seed=SEED, cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=128,
+        featuresCol="_features", labelCol=TARGET, predictionCol="prediction", **params)
+    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_features"), regressor])
 
-BUILDERS: dict[str, Callable[..., Estimator]] = {
-    "linear_regression": _linear,
-    "random_forest": _forest,
-    "hist_gradient_boosting": _boosting,
-}
 
+def boosting(params: dict) -> Settings:
+    names = {"maxIter": "rounds", "stepSize": "rate", "maxDepth": "depth", "minInstancesPerNode": "least_rows", "maxLeaves": "leaves"}
+    return Settings(**{names[k]: v for k, v in params.items()})
 
-def build_estimator(
-    name: str, candidates: dict[str, dict] = CANDIDATE_MODELS, features: list[str] = FEATURES
-) -> Pipeline:
-    if name not in BUILDERS or name not in candidates:
-        raise ValueError(f"unknown model: {name}")
-    regressor = BUILDERS[name](**candidates[name])
-    regressor.setParams(featuresCol="_features", labelCol=TARGET, predictionCol="prediction")
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_features"), regressor])
+
+def fit_linear(rows: DataFrame, params: dict, folds: int) -> Fitted:
+    """All fits from one pass of sums by split and fold; a second pass for the validation errors."""
+    left_out, model, final = fold_models(gram_sums(rows, ["split", "fold"], FEATURES, TARGET), FEATURES)
+    error = F.avg(F.abs(held_out_prediction(left_out) - F.col(TARGET))).alias("mae")
+    by_fold = rows.where("split = 'train'").groupBy("fold").agg(error).where("mae IS NOT NULL").orderBy("fold")
+    errors = [r["mae"] for r in by_fold.collect()]
+    return Fitted(float(np.mean(errors)), float(np.std(errors)), model, final)
+
+
+def fit_boosting(rows: DataFrame, params: dict, folds: int) -> Fitted:
+    """Folds, training rows and all rows as training sets of the same passes."""
+    train = F.col("split") == "train"
+    members = [train & (F.col("fold") != f) for f in range(folds)] + [train, F.lit(True)]
+    models, errors = fit_boosted(rows, members, FEATURES, TARGET, boosting(params), train=folds)
+    errors = [e for e in errors[:folds] if e is not None]
+    return Fitted(float(np.mean(errors)), float(np.std(errors)), models[folds], models[folds + 1])
 
 
-def with_prediction(model: PipelineModel, df: DataFrame) -> DataFrame:
+def fit_forest(rows: DataFrame, params: dict, folds: int) -> Fitted:
+    validator = CrossValidator(
+        estimator=forest(params), estimatorParamMaps=ParamGridBuilder().build(), numFolds=folds, foldCol="fold", parallelism=folds,
+        evaluator=RegressionEvaluator(labelCol=TARGET, predictionCol="prediction", metricName="mae"), collectSubModels=False)
+    work = {"folds": lambda: validator.fit(rows.where("split = 'train'")), "all": lambda: forest(params).fit(rows)}
+    done = concurrently(rows.sparkSession, work)
+    chosen = done["folds"]
+    return Fitted(float(chosen.avgMetrics[0]), float(chosen.stdMetrics[0]), chosen.bestModel, done["all"])
+
+
+BUILDERS: dict[str, Callable[[DataFrame, dict, int], Fitted]] = {
+    "linear_regression": fit_linear,
+    "random_forest": fit_forest,
+    "hist_gradient_boosting": fit_boosting,
+}
+
+
+def with_prediction(model: Model, df: DataFrame) -> DataFrame:
     return model.transform(df).drop("_features")
 
 
+def save_model(spark: SparkSession, model: Model, path: str) -> None:
+    if isinstance(model, PipelineModel):
+        model.write().overwrite().save(path)
+    else:
+        model.save(spark, path)
+
+
+def load_model(spark: SparkSession, name: str, path: str) -> Model:
+    """A stored fit of the candidate ``name``."""
+    loaders = {"linear_regression": LinearModel.load, "hist_gradient_boosting": BoostedTrees.load}
+    return loaders[name](spark, path) if name in loaders else PipelineModel.load(path)
+
+
 def regression_metrics(
     df: DataFrame,
     y: str = TARGET,
@@ -125,18 +178,21 @@ def compact(train: DataFrame, rows: int = 50_000) -> DataFrame:
     return train.coalesce(max(1, -(-train.count() // rows)))
 
 
-def cross_validate(train: DataFrame, estimator: Pipeline, folds: int = CV_FOLDS):
-    """Mean and spread of the fold MAEs, and the model refitted on all training rows."""
-    validator = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=RegressionEvaluator(labelCol=TARGET, predictionCol="prediction", metricName="mae"),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=folds,
-    )
-    fitted = validator.fit(cv_fold(train, folds=folds))
-    return fitted.avgMetrics[0], fitted.stdMetrics[0], fitted.bestModel
+def concurrently(spark: SparkSession, work: dict[str, Callable]) -> dict:
+    """Results of independent pieces of work, each run by a thread with a scheduler pool of its own.
+
+    With ``spark.scheduler.mode`` FAIR the pools share the cores evenly; without
+    it, jobs of one piece fill what the others leave free.
+    """
+    context = spark.sparkContext
+
+    def run(name: str):
+        context.setLocalProperty("spark.scheduler.pool", name)
+        return work[name]()
+
+    with ThreadPoolExecutor(max_workers=max(1, len(work))) as pool:
+        started = {name: pool.submit(inheritable_thread_target(spark)(run), name) for name in work}
+        return {name: future.result() for name, future in started.items()}
 
 
 def choose(metrics: DataFrame, by: str = "cv_mae_days") -> DataFrame:
@@ -155,42 +211,58 @@ def ranked(rows: list[dict], spark) -> list[dict]:
     return sorted(rows, key=lambda r: (r["model_name"] != best, r["cv_mae_days"], r["model_name"]))
 
 
+def fit_candidates(
+    split: DataFrame, candidates: dict[str, dict] = CANDIDATE_MODELS, folds: int = CV_FOLDS
+) -> dict[str, Fitted]:
+    """All candidates at once, each cross-validated and fitted on the training rows and on all rows."""
+    for name in candidates:
+        if name not in BUILDERS:
+            raise ValueError(f"unknown model: {name}")
+    ensure_checkpoint_dir(split.sparkSession)
+    rows = compact(cv_fold(split, folds=folds)).persist()
+    try:
+        return concurrently(split.sparkSession, {
+            name: lambda name=name: BUILDERS[name](rows, candidates[name], folds) for name in candidates})
+    finally:
+        rows.unpersist()
+
+
 def select_best_model(
     split: DataFrame, candidates: dict[str, dict] = CANDIDATE_MODELS, folds: int = CV_FOLDS
-) -> tuple[list[dict], PipelineModel]:
-    """Cross-validate every candidate, best first, and return the winner's fit.
+) -> tuple[list[dict], Model, dict[str, Model]]:
+    """Metric rows of every candidate, best first, the winner's fit on the training rows, and all fits on all rows.
 
+    The mean and spread of the validation errors choose; held-out rows measure.
     The driver sees one metric row per candidate; the fits run on the cluster.
     """
-    ensure_checkpoint_dir(split.sparkSession)
-    train = compact(split.where("split = 'train'")).persist()
+    fitted = fit_candidates(split, candidates, folds)
     test = split.where("split = 'test'").persist()
     try:
-        rows, fitted = [], {}
-        for name in candidates:
-            mae, spread, model = cross_validate(train, build_estimator(name, candidates), folds)
-            fitted[name] = model
-            holdout = regression_metrics(with_prediction(model, test)).first()
-            rows.append({
-                "model_name": name,
-                "model_type": type(model.stages[-1]).__name__,
-                "cv_mae_days": float(mae),
-                "cv_mae_std": float(spread),
-                **(holdout.asDict() if holdout else {}),
-            })
+        measured = concurrently(split.sparkSession, {
+            name: lambda f=f: regression_metrics(with_prediction(f.model, test)).first() for name, f in fitted.items()})
     finally:
-        train.unpersist()
         test.unpersist()
+    rows = [{
+        "model_name": name,
+        "model_type": f.kind,
+        "cv_mae_days": f.mae,
+        "cv_mae_std": f.spread,
+        **(measured[name].asDict() if measured[name] else {}),
+    } for name, f in fitted.items()]
     rows = ranked(rows, split.sparkSession)
-    return rows, fitted[rows[0]["model_name"]]
+    return rows, fitted[rows[0]["model_name"]].model, {name: f.final for name, f in fitted.items()}
 
 
-def fit_final_model(
-    train: DataFrame, name: str, candidates: dict[str, dict] = CANDIDATE_MODELS
-) -> PipelineModel:
-    """Refit a candidate on every row."""
+def fit_final_model(train: DataFrame, name: str, candidates: dict[str, dict] = CANDIDATE_MODELS) -> Model:
+    """Fit a candidate on every row."""
+    if name not in BUILDERS or name not in candidates:
+        raise ValueError(f"unknown model: {name}")
     ensure_checkpoint_dir(train.sparkSession)
-    return build_estimator(name, candidates).fit(compact(train))
+    if name == "linear_regression":
+        return solve(total(list(gram_sums(train, [], FEATURES, TARGET).values())), FEATURES)
+    if name == "hist_gradient_boosting":
+        return fit_boosted(compact(train), [F.lit(True)], FEATURES, TARGET, boosting(candidates[name]))[0][0]
+    return forest(candidates[name]).fit(compact(train))
 
 
 def station_extremes(metrics: DataFrame) -> DataFrame:

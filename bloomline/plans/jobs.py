@@ -189,7 +189,7 @@ def run_forecast(
     event_type: str = FIRST_BLOOM,
     model_version: str = MODEL_VERSION,
 ) -> list[dict] | None:
-    """Choose, refit and store a model, and upsert the forecasts of all candidates.
+    """Choose and store a model, and upsert the forecasts of all candidates fitted on all rows.
 
     Returns the candidates' metric rows, best first, or ``None`` without input.
     """
@@ -198,21 +198,20 @@ def run_forecast(
         if train.isEmpty():
             return None
         model.validate_features(train)
-        selection, best = model.select_best_model(model.hash_split(train), candidates)
+        selection, best, finals = model.select_best_model(model.hash_split(train), candidates)
         held_out = model.hash_split(train).where("split = 'test'")
         station = model.metrics_per_group(model.with_prediction(best, held_out), ["location_code"])
 
         name = selection[0]["model_name"]
-        final = model.fit_final_model(train, name, candidates)
         document = fc.metadata_row(wh.spark, selection, train.count(), run_ts, model_version)
         stamp = run_ts.strftime("%Y%m%d_%H%M%S")
-        fc.save_artifact(final, document, wh.path(f"models/{name}_{model_version}_{stamp}"), station)
+        fc.save_artifact(finals[name], document, wh.path(f"models/{name}_{model_version}_{stamp}"), station)
 
         upcoming = model.prediction_set(wh.read("marts/prediction_features"), event_type)
         if upcoming.isEmpty():
             return selection
         rows = fc.build_all(
-            train, upcoming, selection, run_ts, station, candidates, {name: final}, model_version
+            train, upcoming, selection, run_ts, station, candidates, finals, model_version
         )
         scored = materialize(rows, "forecast-rows")
         sinks.write_forecast(wh.spark, verify(scored, FORECAST), wh.path("marts/forecast"))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bloomline.config import FEATURES
+from bloomline.config import CANDIDATE_MODELS, FEATURES, TARGET
 from bloomline.functions.labels import prediction_status
 from bloomline.operators import features, forecast as fc, marts, model
+from bloomline.operators.linear import fold_models, gram_sums, held_out_prediction
 from bloomline.plans import adapters as a
 from bloomline.plans.registry import query
-from bloomline.plans.sql import FEATURE_DOUBLES, FORECAST_DOUBLES, pad, prediction_sql, with_
+from bloomline.plans.sql import FEATURE_DOUBLES, FORECAST_DOUBLES, pad, prediction_sql, with_, with_lines
 from bloomline.session import materialize, scratch_path
 
 W = a.WIDTH
@@ -239,18 +240,73 @@ def _(spark, sf):
     return model_forecast(spark, sf, "hist_gradient_boosting")
 
 
-@query("model_artifact_metadata")
-def _(spark, sf):
-    from pyspark.ml import PipelineModel
-
+def stored_artifact(spark, sf, candidates):
+    """Choose among candidates, store the winner, and read it back: its document and its forecasts."""
     split = model.hash_split(complete_rows(spark, sf))
-    rows, best = model.select_best_model(split)
+    rows, best, _ = model.select_best_model(split, candidates)
     path = scratch_path(spark, "artifact")
     fc.save_artifact(best, fc.metadata_row(spark, rows, split.count(), a.RUN_TIME), path)
-    reloaded = PipelineModel.load(f"{path}/model")
-    metadata = spark.read.json(f"{path}/metadata")
+    return spark.read.json(f"{path}/metadata"), model.load_model(spark, rows[0]["model_name"], f"{path}/model"), split
+
+
+@query("model_artifact_metadata")
+def _(spark, sf):
+    metadata, reloaded, split = stored_artifact(spark, sf, CANDIDATE_MODELS)
+    scored = model.regression_metrics(model.with_prediction(reloaded, split.where("split = 'test'"))).select(
+        F.col("mae_days").alias("reloaded_mae_days"))
+    # A single row.
     return metadata.select(
         "model_name", "model_version", "training_row_count", "selection_metric", "saved_at_utc",
-        F.size("features").alias("n_features"), F.size("selection_results").alias("n_candidates"),
-        "metrics.mae_days", F.lit(type(reloaded.stages[-1]).__name__).alias("reloaded_as"),
-    )
+        F.size("features").alias("n_features"), F.size("selection_results").alias("n_candidates"), "metrics.mae_days",
+    ).join(F.broadcast(scored))
+
+
+LINEAR = {"linear_regression": CANDIDATE_MODELS["linear_regression"]}
+
+
+@query("linear_cv_folds", with_lines("""
+SELECT fold, avg(abs(prediction - y)) AS mae_days, count(*) AS n_rows FROM lines
+WHERE k = fold AND split = 'train' GROUP BY fold"""), doubles="mae_days")
+def _(spark, sf):
+    """Validation error of each fold, all folds from one pass of sums."""
+    rows = model.cv_fold(model.hash_split(complete_rows(spark, sf)))
+    left_out, _, _ = fold_models(gram_sums(rows, ["split", "fold"], FEATURES, TARGET), FEATURES)
+    return rows.where("split = 'train'").groupBy("fold").agg(
+        F.avg(F.abs(held_out_prediction(left_out) - F.col(TARGET))).alias("mae_days"), F.count("*").alias("n_rows"))
+
+
+@query("linear_selection", with_lines("""
+SELECT 'linear_regression' AS model_name, cv.*, h.*
+FROM (SELECT avg(mae) AS cv_mae_days, stddev_pop(mae) AS cv_mae_std FROM (
+        SELECT avg(abs(prediction - y)) AS mae FROM lines WHERE k = fold AND split = 'train' GROUP BY fold) AS folds) AS cv,
+     (SELECT avg(abs(prediction - y)) AS mae_days, sqrt(avg((prediction - y) * (prediction - y))) AS rmse_days,
+             1 - avg((prediction - y) * (prediction - y)) / var_pop(y) AS r2_score, count(*) AS evaluation_row_count
+      FROM lines WHERE k = 5 AND split = 'test') AS h"""),
+       doubles="cv_mae_days cv_mae_std mae_days rmse_days r2_score")
+def _(spark, sf):
+    """Mean and spread of the validation errors, and the held-out measures of the fit on the training rows."""
+    rows, _, _ = model.select_best_model(model.hash_split(complete_rows(spark, sf)), LINEAR)
+    names = "model_name string, cv_mae_days double, cv_mae_std double, mae_days double, rmse_days double, r2_score double, evaluation_row_count long"
+    return spark.createDataFrame([[r[c.split()[0]] for c in names.split(", ")] for r in rows], names)
+
+
+@query("linear_forecast", with_lines("""
+SELECT location_code, CAST(year AS INTEGER) AS year, prediction FROM lines WHERE k = 6 AND split = 'upcoming'"""), doubles="prediction")
+def _(spark, sf):
+    """The candidate refitted on all rows, applied to the coming season."""
+    _, _, finals = model.select_best_model(model.hash_split(complete_rows(spark, sf)), LINEAR)
+    upcoming = materialize(model.prediction_set(prediction(spark, sf, a.AUTUMN_RUN)), "upcoming")
+    return model.with_prediction(finals["linear_regression"], model.validate_features(upcoming)).select("location_code", "year", "prediction")
+
+
+@query("linear_artifact", with_lines("""
+SELECT 'linear_regression' AS model_name, 'v3' AS model_version, (SELECT count(*) FROM lines WHERE k = 6 AND split <> 'upcoming') AS training_row_count,
+       7 AS n_features, 1 AS n_candidates, avg(abs(prediction - y)) AS mae_days, avg(prediction) AS avg_prediction
+FROM lines WHERE k = 5 AND split = 'test'"""), doubles="mae_days avg_prediction")
+def _(spark, sf):
+    """Document of the stored linear model, and what the model read back predicts for the held-out rows."""
+    metadata, reloaded, split = stored_artifact(spark, sf, LINEAR)
+    scored = model.with_prediction(reloaded, split.where("split = 'test'")).agg(F.avg("prediction").alias("avg_prediction"))
+    # A single row.
+    return metadata.select("model_name", "model_version", "training_row_count", F.size("features").alias("n_features"),
+                           F.size("selection_results").alias("n_candidates"), "metrics.mae_days").join(F.broadcast(scored))

@@ -280,6 +280,43 @@ FROM (SELECT l.location_code, g.m, coalesce(c.mean_temp_c, n.avg_temp) AS t,
 GROUP BY location_code""")
 
 
+#: Without the sum of three others, which adds nothing to a prediction.
+INDEPENDENT = [f for f in FEATURE_DOUBLES.split() if f != "january_march_cumulative_temp"]
+
+
+def with_lines(body: str, folds: int = 5, as_of_year: int = 2002) -> str:
+    """``body`` over ``lines``: least-squares predictions of every row by model k, by orthogonalising one feature after the other.
+
+    Models 0 to 4 leave a fold out, 5 has all training rows, 6 all rows; rows of
+    the coming season have split 'upcoming'.
+    """
+    values = ", ".join(f"CAST({f} AS DOUBLE) AS x{i}" for i, f in enumerate(INDEPENDENT))
+    n = len(INDEPENDENT)
+    mean = lambda c: f"avg({c}) FILTER (WHERE fitted) OVER (PARTITION BY k)"
+    slope = lambda y, x: f"coalesce(sum({x} * {y}) FILTER (WHERE fitted) OVER (PARTITION BY k) / nullif(sum({x} * {x}) FILTER (WHERE fitted) OVER (PARTITION BY k), 0), 0)"
+    kept = "location_code, year, split, fold, k, fitted, y"
+    steps = [f"line0 AS (SELECT {kept}, {', '.join(f'x{i} - {mean(f'x{i}')} AS x{i}' for i in range(n))}, "
+             f"y - {mean('y')} AS rest, {mean('y')} AS prediction FROM fits)"]
+    for i in range(n):
+        others = "".join(f", x{j} - x{i} * {slope(f'x{j}', f'x{i}')} AS x{j}" for j in range(i + 1, n))
+        part = f"x{i} * {slope('rest', f'x{i}')}"
+        steps.append(f"line{i + 1} AS (SELECT {kept}{others}, rest - {part} AS rest, prediction + {part} AS prediction FROM line{i})")
+    return with_("training", f"""
+, keyed AS (SELECT *, location_code || '|' || year || '|' || event_type AS key FROM training WHERE event_type = 'sakura_bloom'),
+given AS (
+  SELECT location_code, year, CASE WHEN CAST('0x' || substr(md5(key), 1, 8) AS BIGINT) % 100 < 20 THEN 'test' ELSE 'train' END AS split,
+         CAST(CAST('0x' || substr(md5(key), 9, 8) AS BIGINT) % {folds} AS INTEGER) AS fold, CAST(day_of_year AS DOUBLE) AS y, {values}
+  FROM keyed
+  UNION ALL SELECT location_code, year, 'upcoming', NULL, NULL, {values} FROM ({prediction_sql(as_of_year)}) AS p),
+fits AS (
+  SELECT given.*, k, CASE WHEN split = 'upcoming' THEN FALSE WHEN k < {folds} THEN split = 'train' AND fold <> k
+                          WHEN k = {folds} THEN split = 'train' ELSE TRUE END AS fitted
+  FROM given CROSS JOIN range({folds + 2}) AS m(k)),
+{(',' + chr(10)).join(steps)},
+lines AS (SELECT {kept}, prediction FROM line{n})
+{body}""")
+
+
 def wide_event_rows(flag: str) -> str:
     """Long form of the wide event table: first shipment of each supplier and year."""
     return f"""

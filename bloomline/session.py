@@ -19,6 +19,8 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bloomline-"))
         .config("spark.ui.enabled", "false")
+        # Candidate models are fitted at the same time, each in a pool of its own.
+        .config("spark.scheduler.mode", "FAIR")
         # Call-site capture doubles the cost of building a plan.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

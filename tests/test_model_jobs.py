@@ -40,7 +40,9 @@ def test_validation(spark):
     with pytest.raises(ValueError, match="missing feature"):
         model.validate_features(df.drop(FEATURES[0]))
     with pytest.raises(ValueError, match="unknown model"):
-        model.build_estimator("nope")
+        model.fit_final_model(df, "nope")
+    with pytest.raises(ValueError, match="unknown model"):
+        model.select_best_model(model.hash_split(df), {"nope": {}})
 
 
 def test_split_is_stable_and_near_the_share(spark):
@@ -70,9 +72,13 @@ def test_champion_is_the_lowest_error(spark):
 
 def test_candidates_recover_a_planted_line(spark):
     assert set(CANDIDATE_MODELS) == set(model.BUILDERS)
-    rows, best = model.select_best_model(model.hash_split(planted(spark)), SMALL_CANDIDATES, folds=2)
+    rows, best, finals = model.select_best_model(model.hash_split(planted(spark)), SMALL_CANDIDATES, folds=2)
     assert [r["cv_mae_days"] for r in rows] == sorted(r["cv_mae_days"] for r in rows)
     assert rows[0]["model_name"] == "linear_regression" and rows[0]["r2_score"] > 0.9
+    assert set(finals) == set(SMALL_CANDIDATES) and {r["model_type"] for r in rows} == {
+        "LinearModel", "RandomForestRegressionModel", "BoostedTrees"}
+    again = model.fit_final_model(planted(spark), "linear_regression")
+    assert again.coefficients == pytest.approx(finals["linear_regression"].coefficients)
     scored = model.with_prediction(best, planted(spark))
     assert scored.where(F.isnan("prediction") | F.col("prediction").isNull()).count() == 0
 

@@ -14,9 +14,7 @@ def con():
     return connect(SF_DIR)
 
 
-#: Fits of 300 boosting rounds, some of them for five folds: test_model_jobs runs the same code with small fits.
-MINUTES_LONG = {"model_gbt", "monthly_checks", "model_artifact_metadata"}
-CHECKED = {n for n in catalog.QUERIES if n not in MINUTES_LONG} | set(entry.oracle_sql())
+CHECKED = set(catalog.QUERIES) | set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(CHECKED))
