@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from bloomline.config import TEMP_VIEW
+from bloomline.config import MONTHS, PRECIP_VIEW, TEMP_VIEW
 from bloomline.functions import codes, dates, labels, text
 from bloomline.operators import quality, reshape, staging
 from bloomline.plans import adapters as a, jobs
@@ -306,28 +306,33 @@ def _(spark, sf):
     return measures
 
 
+def page_cells(measure: str, end: str) -> str:
+    """SQL of a year row's cells as text, joined by ``|``."""
+    months = " || '|' || ".join(f"coalesce(CAST(max(CASE WHEN month = {m} THEN {measure} END) AS VARCHAR) || '{end}', '')" for m in range(1, 13))
+    return f"CAST(year AS VARCHAR) || '|' || {months} || '|x'"
+
+
+PAGE_HEADER = "|".join(["Year", *MONTHS, "Annual"])
+
+
 @query("html_table_rows", f"""
-SELECT CAST({a.STATION_BASE} + l_suppkey AS VARCHAR) AS page, 'year row' AS kind,
-       CAST(year(l_shipdate) AS VARCHAR) AS first_cell, 14 AS n_cells
-FROM lineitem GROUP BY l_suppkey, year(l_shipdate)
+WITH monthly AS (
+  SELECT CAST({a.STATION_BASE} + l_suppkey AS VARCHAR) AS page, year(l_shipdate) AS year, month(l_shipdate) AS month,
+         CAST(sum(l_quantity) AS BIGINT) AS t, count(*) AS p
+  FROM lineitem GROUP BY 1, 2, 3),
+lines AS (
+  SELECT page, {TEMP_VIEW} AS view, year, {page_cells('t', '.5 ]')} AS cells FROM monthly GROUP BY page, year
+  UNION ALL SELECT page, {PRECIP_VIEW}, year, {page_cells('p', '.0)')} FROM monthly GROUP BY page, year
+  UNION ALL SELECT DISTINCT page, v.view, 0, '{PAGE_HEADER}' FROM monthly, (VALUES ({TEMP_VIEW}), ({PRECIP_VIEW})) AS v(view))
+SELECT page, view, CAST(row_number() OVER (PARTITION BY page, view ORDER BY year) - 1 AS INTEGER) AS row_no, cells, NULL AS parse_error FROM lines
 UNION ALL
-SELECT CAST({a.STATION_BASE} + l_suppkey AS VARCHAR), 'header', 'Year', 14 FROM lineitem GROUP BY l_suppkey
-UNION ALL
-SELECT url, 'expected at least 2 tables, got '
-            || len(regexp_extract_all(html, '(?is)<table\\b[^>]*>(.*?)</table>')), NULL, NULL
-FROM pages""")
+SELECT url, NULL, NULL, NULL, 'expected at least 2 tables, got ' || len(regexp_extract_all(html, '(?is)<table\\b[^>]*>(.*?)</table>')) FROM pages""")
 def _(spark, sf):
-    station = a.climate_pages(spark, sf).where(F.col("view") == TEMP_VIEW).select(
-        F.col("station_code").alias("page"), "html"
-    )
-    scraped = table(spark, sf, "pages").select(F.col("url").alias("page"), "html")
+    """Every cell of the second table of all climate pages, and the scraped pages, which have none."""
+    station = a.climate_pages(spark, sf).select(F.col("station_code").alias("page"), "view", "html")
+    scraped = table(spark, sf, "pages").select(F.col("url").alias("page"), F.lit(None).cast("int").alias("view"), "html")
     rows = html.html_table_rows(station.unionByName(scraped))
-    return rows.select(
-        "page",
-        F.coalesce("parse_error", F.when(F.col("row_no") == 0, "header").otherwise("year row")).alias("kind"),
-        F.try_element_at("cells", F.lit(1)).alias("first_cell"),
-        F.when(F.col("cells").isNotNull(), F.size("cells")).alias("n_cells"),
-    )
+    return rows.select("page", "view", "row_no", F.array_join("cells", "|").alias("cells"), "parse_error")
 
 
 @query("html_option_list", r"""

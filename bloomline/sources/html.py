@@ -1,8 +1,9 @@
 """Tables, option lists and captions of stored HTML pages, one page per row.
 
-A page is parsed inside its own row with built-in string and array functions, so
-a scan over any number of pages is one narrow stage. Pages that cannot be read
-carry a ``parse_error`` instead of stopping the job.
+A page is parsed inside its own row, so a scan over any number of pages is one
+narrow stage: captions and lists with built-in functions, tables by a pass over
+their tags in Arrow batches. Pages that cannot be read carry a ``parse_error``
+instead of stopping the job.
 """
 
 from __future__ import annotations
@@ -10,10 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bloomline.config import DENY_STATION_CODES, MONTHS, NAME_SUFFIXES, RETIRED_MARKER
 from bloomline.functions.text import normalize_whitespace, parse_coordinate
+from bloomline.sources.page_tables import read_table
+
+BATCH_PAGES = 200
 
 # Named entities resolved in cell text, `&amp;` last.
 ENTITIES = {
@@ -23,12 +28,6 @@ ENTITIES = {
 }
 NUMERIC = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 
-OPEN_TABLE, CLOSE_TABLE = r"(?i)<table\b[^>]*>", r"(?i)</table\s*>"
-# Rows and cells end at their end tag or, where it is left out, at the next one's start.
-ROW = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|\z)"
-CELL = r"(?is)<t[hd]\b([^>]*)>(.*?)(?=</t[hd]\s*>|<t[hd]\b|\z)"
-SPAN = r"(?i)\bcolspan\s*=\s*[\"']?\s*([0-9]{1,3})"
-
 
 def attribute(name: str, value: str) -> str:
     """Pattern of an attribute with one word among its values, in double, single or no quotes."""
@@ -71,30 +70,28 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.try_element_at(F.transform(F.array(value), use), F.lit(1))
 
 
-def _cells(row: Column) -> Column:
-    """Visible text of each cell, repeated over the columns that it spans."""
-    def wide(attributes: Column, text: Column) -> Column:
-        span = F.coalesce(F.regexp_extract(attributes, SPAN, 1).try_cast("int"), F.lit(1))
-        return F.array_repeat(plain_text(text), F.least(F.greatest(span, F.lit(1)), F.lit(100)))
-
-    return F.flatten(F.zip_with(_all(row, CELL, 1), _all(row, CELL, 2), wide))
-
+def _table(html: Column, index: int) -> Column:
+    """Number of tables on a page, and the rows of the one at ``index``."""
+    def read(pages: pa.Array) -> pa.Array:
+        found = [read_table(page, index) for page in pages.to_pylist()]
+        return pa.StructArray.from_arrays(
+            [pa.array([n for n, _ in found], pa.int32()), pa.array([rows for _, rows in found], pa.list_(pa.list_(pa.string())))],
+            names=["found", "rows"])
 
-def _tables(html: Column) -> Column:
-    """What follows each opening table tag up to the next one, in page order; nested tables count."""
-    return F.slice(F.split(F.coalesce(html, F.lit("")), OPEN_TABLE), 2, 1 << 20)
+    return F.arrow_udf(read, "struct<found:int, rows:array<array<string>>>")(html)
 
 
-def _wanted(tables: Column, index: int) -> Column:
-    """Contents of the table at ``index``, NULL if it doesn't end before another one begins."""
-    parts = F.split(F.try_element_at(tables, F.lit(index + 1)), CLOSE_TABLE, 2)
-    return F.when(F.size(parts) > 1, F.try_element_at(parts, F.lit(1)))
+def _read(pages: DataFrame, html_col: str, keep: list[str], index: int) -> DataFrame:
+    """Pages with their table; batches of pages are kept small, since pages are long."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(pages.sparkSession.conf.get(setting)) > BATCH_PAGES:
+        pages.sparkSession.conf.set(setting, str(BATCH_PAGES))
+    return pages.select(*keep, _table(F.col(html_col).cast("string"), index).alias("_page"))
 
 
-def _too_few(tables: Column, index: int) -> Column:
-    found = F.size(tables)
-    text = F.concat(F.lit(f"expected at least {index + 1} tables, got "), found.cast("string"))
-    return F.when(found <= index, text).when(_wanted(tables, index).isNull(), F.lit("table holds another table or has no end"))
+def _too_few(page: Column, index: int) -> Column:
+    found = page["found"]
+    return F.when(found <= index, F.concat(F.lit(f"expected at least {index + 1} tables, got "), found.cast("string")))
 
 
 def _no_error() -> Column:
@@ -114,15 +111,11 @@ def html_table_rows(pages: DataFrame, html_col: str = "html", table_index: int =
             error.alias("parse_error"), row_no.cast("int").alias("row_no"), cells.alias("cells")
         )
 
-    def rows(tables: Column) -> Column:
-        error = _too_few(tables, table_index)
-        listed = F.transform(
-            _all(_wanted(tables, table_index), ROW),
-            lambda r, i: entry(_no_error(), i, _cells(r)),
-        )
-        return F.when(error.isNotNull(), F.array(entry(error, F.lit(None), _no_cells()))).otherwise(listed)
-
-    return pages.select(*keep, F.inline(_once(_tables(F.col(html_col)), rows)))
+    page = F.col("_page")
+    error = _too_few(page, table_index)
+    listed = F.transform(page["rows"], lambda r, i: entry(_no_error(), i, r))
+    rows = F.when(error.isNotNull(), F.array(entry(error, F.lit(None), _no_cells()))).otherwise(listed)
+    return _read(pages, html_col, keep, table_index).select(*keep, F.inline(rows))
 
 
 def html_table_columns(
@@ -158,12 +151,10 @@ def html_table_columns(
         )
         return F.when(error.isNotNull(), F.array(entry(error, _no_cells()))).otherwise(lines)
 
-    def page(tables: Column) -> Column:
-        error = _too_few(tables, table_index)
-        rows = F.transform(_all(_wanted(tables, table_index), ROW), _cells)
-        return F.when(error.isNotNull(), F.array(entry(error, _no_cells()))).otherwise(_once(rows, body))
-
-    parsed = pages.select(*keep, F.inline(_once(_tables(F.col(html_col)), page)))
+    page = F.col("_page")
+    error = _too_few(page, table_index)
+    lines = F.when(error.isNotNull(), F.array(entry(error, _no_cells()))).otherwise(_once(page["rows"], body))
+    parsed = _read(pages, html_col, keep, table_index).select(*keep, F.inline(lines))
     return parsed.select(
         *keep, "parse_error",
         *[F.try_element_at("_cells", F.lit(i)).alias(c) for i, c in enumerate(columns, 1)],

@@ -1,6 +1,8 @@
 """Wide CSV, stored pages, declared tables and sinks."""
 
 import datetime as dt
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from bloomline.functions.text import rename_aliases
 from bloomline.operators import reshape
 from bloomline.schemas import FORECAST, STATION_METADATA
-from bloomline.sources import contracts, html, sinks, wide_csv
+from bloomline.sources import contracts, html, page_tables, sinks, wide_csv
 
 CSV = "\n".join([
     "Flowering dates,,,,,,",
@@ -146,9 +148,47 @@ def test_table_spellings(spark):
         (None, ["a", "b&c", "b&c"]), (None, ["d", "\u00b0"])]
     # A table within the first one is the second table.
     assert rows("<table><tr><td><table><tr><td>in</td></tr></table></td></tr></table>") == [(None, ["in"])]
-    # What can't be read says so.
-    assert rows("<table></table><table><tr><td>x<table></table></td></tr></table>")[0][0].startswith("table holds another")
-    assert rows("<table></table><table><tr><td>x")[0][0].startswith("table holds another")
+    # Text of a nested table belongs to the outer cell; a table without an end goes up to the page's.
+    assert rows("<table></table><table><tr><td>x<table><tr><td>y</td></tr></table><td>z</td></tr><tr><td>w</td></tr></table>") == [
+        (None, ["x y", "z"]), (None, ["w"])]
+    assert rows("<table></table><table><tr><td>x") == [(None, ["x"])]
+    # Comments, scripts and quoted signs hold no tags.
+    assert rows("<!-- <table> --><script>'<table>'</script><table title='>'></table><table><tr><td>a<!-- <td> -->b</table>") == [(None, ["ab"])]
+    assert rows("<p>")[0][0] == "expected at least 2 tables, got 0"
+    assert rows(None)[0][0] == "expected at least 2 tables, got 0"
+
+
+def plain_grid(rows):
+    """Cells at the first free columns of a sheet; rows are what their columns hold, in order."""
+    sheet, last = {}, len(rows)
+    for r, cells in enumerate(rows):
+        for text, columns, deep in cells:
+            column = 0
+            for _ in range(columns):
+                while (r, column) in sheet:
+                    column += 1
+                for below in range(deep):
+                    sheet.setdefault((r + below, column), text)
+                last = max(last, r + deep)
+    return [[sheet[k] for k in sorted(k for k in sheet if k[0] == r)] for r in range(last)]
+
+
+def test_spans_fill_a_grid():
+    rng = random.Random(6)
+    for _ in range(500):
+        rows = [[(f"{r}.{c}", rng.choice([1, 1, 2, 3]) if r == 0 else 1, rng.choice([1, 1, 2, 4])) for c in range(rng.randint(0, 4))] for r in range(rng.randint(0, 6))]
+        page = "".join("<tr>" + "".join(f"<td colspan={c} rowspan='{d}'>{t}" for t, c, d in cells) for cells in rows)
+        assert page_tables.read_table(f"<table></table><table>{page}</table>", 1) == (2, plain_grid(rows))
+    wide = page_tables.read_table("<table><tr><td colspan=250>x</td><td>y", 0)[1]
+    assert [len(r) for r in wide] == [251]
+
+
+def test_page_reading_is_linear():
+    """Pages made to slow a reader down: open quotes, lone signs, deep nesting, comments without an end."""
+    for part in ("<td a='", "<", "<table><tr><td>", "<!--", "<script>", "&", "</", "<td colspan="):
+        start = time.perf_counter()
+        page_tables.read_table("<table></table><table><tr><td>" + part * 100_000, 1)
+        assert time.perf_counter() - start < 20, part
 
 
 def test_contract(spark):
