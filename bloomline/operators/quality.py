@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bloomline.functions.text import round_exact
 
@@ -46,6 +46,42 @@ def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Metrics:
+    """What is counted of a table while it is written: rows, missing values, and the range of measures."""
+    nulls: tuple[str, ...] = ()
+    measures: tuple[str, ...] = ()
+
+    def aggregates(self) -> list[Column]:
+        return [
+            F.count(F.lit(1)).alias(ROW),
+            *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in self.nulls],
+            *[f(F.col(c).cast("double")).alias(f"{p}_{c}") for c in self.measures for p, f in (("min", F.min), ("max", F.max))],
+        ]
+
+
+class Stored:
+    """Metrics of one table as its write observed them; frames like those of the functions here, without a scan."""
+
+    def __init__(self, spark: SparkSession, values: dict[str, float | None]) -> None:
+        self.spark, self.values = spark, values
+
+    def frame(self, **columns: float | None) -> DataFrame:
+        # A single row of literals.
+        return self.spark.range(1).select(*[F.lit(v).cast("double").alias(c) for c, v in columns.items()])
+
+    def rows(self) -> DataFrame:
+        return self.frame(**{ROW: self.values[ROW]})
+
+    def nulls(self, cols: list[str]) -> DataFrame:
+        total = self.values[ROW]
+        return self.frame(total_rows=total, **{f"non_null_{c}": total - self.values[f"null_{c}"] for c in cols},
+                          **{f"null_{c}": self.values[f"null_{c}"] for c in cols})
+
+    def range(self, cols: list[str]) -> DataFrame:
+        return self.frame(**{f"{p}_{c}": self.values[f"{p}_{c}"] for c in cols for p in ("min", "max")})
+
+
 def null_rows(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNull()).groupBy(col).agg(F.count("*").alias("records"))
 

@@ -10,7 +10,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from bloomline.config import (
     CANDIDATE_MODELS, DENY_STATION_CODES, FIRST_BLOOM, FULL_BLOOM, LOCATION_WIDTH, MODEL_VERSION, PLAUSIBLE_DOY,
@@ -25,6 +25,20 @@ from bloomline.sources import html, sinks, wide_csv
 from bloomline.sources.contracts import conform, verify
 
 
+MEASURES = ("mean_temp_c", "precipitation_mm")
+EVENT_COLUMNS = ("location_code", "date_key", "year", "event_type", "day_of_year")
+#: Metrics that the write of a table observes, so that no check scans it for them.
+OBSERVED = {
+    "staging/climate": quality.Metrics(),
+    "staging/events": quality.Metrics(nulls=("event_date", "event_date_raw", "location_name")),
+    "marts/fact_climate": quality.Metrics(nulls=MEASURES, measures=MEASURES),
+    "marts/fact_events": quality.Metrics(nulls=EVENT_COLUMNS),
+    "marts/training_features": quality.Metrics(nulls=("day_of_year",)),
+    **{f"marts/{name}": quality.Metrics() for name in (
+        "dim_date", "dim_month", "dim_station", "dim_location", "event_gap", "prediction_features")},
+}
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Parquet tables below one root, a folder per layer and table.
@@ -55,11 +69,34 @@ class Warehouse:
         return self.spark.read.parquet(self.path(found[1] if found else name))
 
     def stage(self, name: str, df: DataFrame) -> str:
-        """Write a table's next version; readers don't see it before ``commit``."""
+        """Write a table's next version; readers don't see it before ``commit``.
+
+        The metrics named for it in ``OBSERVED`` are taken by the same write and stored with its folder.
+        """
         folder = f"{name}/{uuid.uuid4().hex}"
-        df.write.parquet(self.path(folder))
+        wanted = OBSERVED.get(name)
+        if wanted is None:
+            df.write.parquet(self.path(folder))
+            return folder
+        seen = Observation()
+        df.observe(seen, *wanted.aggregates()).write.parquet(self.path(folder))
+        rows = [(folder, metric, None if value is None else float(value)) for metric, value in seen.get.items()]
+        table = self.spark.createDataFrame(rows, "folder string, metric string, value double")
+        sinks.append(table.coalesce(1), self.path("_metrics"))
         return folder
 
+    def observed(self, names: list[str]) -> dict[str, quality.Stored]:
+        """Stored metrics of the tables' current versions, for those that have any."""
+        table = sinks.read_if_present(self.spark, self.path("_metrics"))
+        if table is None:
+            return {}
+        current = self.current()
+        folders = {current[n][1]: n for n in names if n in current}
+        values: dict[str, dict[str, float | None]] = {}
+        for r in table.where(F.col("folder").isin(list(folders))).collect():
+            values.setdefault(folders[r["folder"]], {})[r["metric"]] = r["value"]
+        return {name: quality.Stored(self.spark, v) for name, v in values.items()}
+
     def commit(self, folders: dict[str, str]) -> None:
         """Switch tables to staged folders, all at once."""
         number = 1 + max((n for n, _ in self.current().values()), default=0)
@@ -220,29 +257,47 @@ def run_forecast(
         train.unpersist()
 
 
-def standard_checks(tables: dict[str, DataFrame]) -> list[quality.Check]:
-    """The checks of one run over the written tables."""
+def standard_checks(
+    tables: dict[str, DataFrame], observed: dict[str, quality.Stored] | None = None
+) -> list[quality.Check]:
+    """The checks of one run over the written tables.
+
+    What the writes have ``observed`` of a table is not counted again.
+    """
+    stored = observed or {}
     zero = lambda v: v == 0
     some = lambda v: v > 0
-    rows = lambda name: quality.Check(
-        f"{name}: rows", tables[name].agg(F.count("*").alias("row_count")), some
-    )
+
+    def null_counts(name: str, cols: list[str]) -> DataFrame:
+        return stored[name].nulls(cols) if name in stored else quality.null_counts(tables[name], cols)
+
+    def rows(name: str) -> quality.Check:
+        found = stored[name].rows() if name in stored else tables[name].agg(F.count("*").alias("row_count"))
+        return quality.Check(f"{name}: rows", found, some)
+
+    def reconciled() -> DataFrame:
+        if "fact_events" in stored and "stg_events" in stored:
+            fact, staged = stored["fact_events"].values, stored["stg_events"].values
+            return stored["fact_events"].frame(difference=fact["row_count"] - (staged["row_count"] - staged["null_event_date"]))
+        return quality.reconcile(tables["fact_events"], tables["stg_events"].where("event_date IS NOT NULL"),
+                                 ("fact_rows", "staging_rows_with_date")).select("difference")
+
     unique = lambda name, keys: quality.count_check(
         f"{name}: unique {', '.join(keys)}", quality.duplicate_keys(tables[name], keys)
     )
     nulls = lambda name, cols: quality.Check(
-        f"{name}: nulls",
-        quality.null_counts(tables[name], cols).select([f"null_{c}" for c in cols]), zero,
+        f"{name}: nulls", null_counts(name, cols).select([f"null_{c}" for c in cols]), zero,
     )
+    measures = (stored["fact_climate"].range(list(MEASURES)) if "fact_climate" in stored
+                else quality.measure_range(tables["fact_climate"], list(MEASURES)))
     checks = [rows(name) for name in tables]
     checks += [
         unique("dim_station", ["station_code"]),
         unique("fact_climate", ["station_code", "date_key"]),
         unique("fact_events", ["location_code", "year", "event_type"]),
-        nulls("fact_events", ["location_code", "date_key", "year", "event_type", "day_of_year"]),
+        nulls("fact_events", list(EVENT_COLUMNS)),
         nulls("training_features", ["day_of_year"]),
-        quality.Check("fact_climate: measures", quality.measure_range(
-            tables["fact_climate"], ["mean_temp_c", "precipitation_mm"])),
+        quality.Check("fact_climate: measures", measures),
         quality.Check("fact_events: unmatched locations", quality.orphans(
             tables["fact_events"], tables["dim_location"], "location_code"), zero),
         quality.Check("fact_events: unmatched dates", quality.orphans(
@@ -253,7 +308,7 @@ def standard_checks(tables: dict[str, DataFrame]) -> list[quality.Check]:
     checks += [
         quality.Check("fact_climate: years", quality.range_distinct(
             climate.select(F.year("date_key").alias("year")), "year")),
-        quality.Check("fact_climate: filled", quality.null_counts(climate, ["mean_temp_c", "precipitation_mm"])),
+        quality.Check("fact_climate: filled", null_counts("fact_climate", list(MEASURES))),
         grouped("fact_climate: by station", quality.group_by_dim(
             climate, tables["dim_station"], "station_code", "station_name"), "station_name"),
         grouped("fact_climate: by season", quality.group_by_dim(
@@ -264,12 +319,10 @@ def standard_checks(tables: dict[str, DataFrame]) -> list[quality.Check]:
     if "stg_events" in tables:
         staged = tables["stg_events"]
         checks += [
-            quality.Check("fact_events: reconciled", quality.reconcile(
-                tables["fact_events"], staged.where("event_date IS NOT NULL"), ("fact_rows", "staging_rows_with_date")
-            ).select("difference"), zero),
+            quality.Check("fact_events: reconciled", reconciled(), zero),
             quality.Check("stg_events: years", quality.range_distinct(staged, "year")),
             quality.Check("stg_events: locations", staged.agg(F.count_distinct("location_name").alias("distinct_locations"))),
-            quality.Check("stg_events: missing", quality.null_counts(staged, ["event_date_raw", "location_name"])
+            quality.Check("stg_events: missing", null_counts("stg_events", ["event_date_raw", "location_name"])
                           .select("null_event_date_raw", "null_location_name")),
             grouped("stg_events: by year", quality.distribution(staged, ["year"]), "year"),
             grouped("stg_events: by type", quality.distribution(staged, ["event_type", "data_status"]), "event_type", "data_status"),
@@ -297,7 +350,9 @@ def run_checks(wh: Warehouse) -> DataFrame:
     forecast = sinks.read_if_present(wh.spark, wh.path("marts/forecast"))
     if forecast is not None:
         tables["forecast"] = forecast
-    return quality.run_checks(standard_checks(tables))
+    paths = {f"marts/{name}": name for name in CHECKED} | {"staging/events": "stg_events", "staging/climate": "stg_climate"}
+    stored = {paths[path]: values for path, values in wh.observed(list(paths)).items()}
+    return quality.run_checks(standard_checks(tables, stored))
 
 
 def run_all(

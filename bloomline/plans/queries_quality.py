@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bloomline.config import PLAUSIBLE_DOY
+from bloomline.config import FIRST_BLOOM, PLAUSIBLE_DOY
 from bloomline.functions.dates import timestamp
-from bloomline.operators import marts, quality
+from bloomline.operators import distinct, marts, quality
 from bloomline.plans import adapters as a
 from bloomline.plans.adapters import table
 from bloomline.plans.registry import query
@@ -60,6 +60,26 @@ def _(spark, sf):
     return quality.range_distinct(a.staged_events(spark, sf), "year", ["year", "location_name"])
 
 
+@query("dq_distinct_bitmaps", with_("stg_events", """
+SELECT min(year) AS min_year, max(year) AS max_year, count(DISTINCT year) AS distinct_year,
+       count(DISTINCT location_name) AS distinct_location_name
+FROM stg_events"""))
+def _(spark, sf):
+    """The same from two loads, one for each event type: their bitmaps merge, the second load only adds new names."""
+    staged = stored(a.staged_events, spark, sf)
+    loads = [staged.where(F.col("event_type") == FIRST_BLOOM), staged.where(F.col("event_type") != FIRST_BLOOM)]
+    names, maps = None, []
+    for rows in loads:
+        names = distinct.extend_dictionary(names, rows, "location_name")
+        size = names.agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
+        numbered = rows.join(names, rows["location_name"] == names["value"], "left")
+        maps.append(distinct.bitmaps(numbered, {"year": F.col("year").cast("long"), "location_name": F.col("number")},
+                                     {"year": 10_000, "location_name": size}))
+    counts = distinct.distinct_counts(distinct.merge_bitmaps(maps), ["year", "location_name"])
+    # A single row each.
+    return quality.measure_range(staged, ["year"]).join(F.broadcast(counts))
+
+
 @query("dq_date_coverage", with_("fact_climate", """
 SELECT min(date_key) AS min_date_key, max(date_key) AS max_date_key FROM fact_climate"""))
 def _(spark, sf):
