@@ -8,6 +8,7 @@ from bloomline.config import PRECIP_VIEW
 from bloomline.operators import serving
 from bloomline.plans import adapters as a, jobs
 from bloomline.plans.registry import query
+from bloomline.plans.sql import day_label, pad, with_
 from bloomline.session import scratch_path
 
 
@@ -25,7 +26,26 @@ def warehouse(spark: SparkSession, name: str) -> jobs.Warehouse:
     return jobs.Warehouse(spark, scratch_path(spark, name), a.STATION_BASE, a.WIDTH)
 
 
-@query("monthly_run")
+#: Months of the season before the bloom of 2002.
+SEASON = "(2001, 9), (2001, 10), (2001, 11), (2001, 12), (2002, 1), (2002, 2), (2002, 3)"
+
+
+@query("monthly_run", with_("forecast dim_station windows fact_climate", f"""
+, seen AS (
+  SELECT right(station_code, {a.WIDTH}) AS location_code, count(mean_temp_c) AS months FROM fact_climate
+  JOIN (VALUES {SEASON}) AS season(y, m) ON year(date_key) = y AND month(date_key) = m GROUP BY 1)
+SELECT s.station_code, s.station_name, s.latitude, s.longitude, f.forecast_year, f.predicted_day_of_year, f.predicted_event_date,
+       f.model_name, f.mae_days, f.rmse_days, f.station_mae_days, {day_label('f.predicted_event_date')} AS bloom_label,
+       right(s.station_code, {a.WIDTH}) AS location_code, w.first_bloom, CAST(w.full_bloom AS DATE) AS full_bloom,
+       CAST(w.peak_start AS DATE) AS peak_start, CAST(w.peak_end AS DATE) AS peak_end,
+       CAST(w.visit_start AS DATE) AS visit_start, CAST(w.visit_end AS DATE) AS visit_end,
+       CAST(w.petals_start AS DATE) AS petals_start, CAST(w.petals_end AS DATE) AS petals_end,
+       coalesce(n.months, 0) < 7 AS using_climate_normals
+FROM forecast f JOIN dim_station s ON f.location_code = {pad('s.location_code')}
+LEFT JOIN windows w ON w.location_code = right(s.station_code, {a.WIDTH}) AND w.forecast_year = f.forecast_year
+LEFT JOIN seen n ON n.location_code = right(s.station_code, {a.WIDTH})
+WHERE f.is_best_model AND s.latitude IS NOT NULL AND s.longitude IS NOT NULL"""),
+       doubles="latitude longitude mae_days rmse_days station_mae_days")
 def monthly_run(spark: SparkSession, sf: str) -> DataFrame:
     """Staging to marts and features, baseline forecast from the event fact, map rows with their visit windows."""
     wh = warehouse(spark, "monthly-run")
