@@ -10,7 +10,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from bloomline.config import (
     CANDIDATE_MODELS, DENY_STATION_CODES, FIRST_BLOOM, FULL_BLOOM, LOCATION_WIDTH, MODEL_VERSION, PLAUSIBLE_DOY,
@@ -57,7 +57,7 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def current(self) -> dict[str, tuple[int, str]]:
-        """Last commit number and folder of each rebuilt table: a row per table."""
+        """Last commit number and folder of each rebuilt table, or part of one: a row per table or part."""
         log = sinks.read_if_present(self.spark, self.path("_commits"))
         if log is None:
             return {}
@@ -65,8 +65,16 @@ class Warehouse:
         return {r["name"]: (r["number"], r["folder"]) for r in last.collect()}
 
     def read(self, name: str) -> DataFrame:
-        found = self.current().get(name)
-        return self.spark.read.parquet(self.path(found[1] if found else name))
+        found = self.current()
+        if name in found or not any(n.startswith(f"{name}#") for n in found):
+            return self.spark.read.parquet(self.path(found[name][1] if name in found else name))
+        parts = [folder for n, (_, folder) in found.items() if n.startswith(f"{name}#") and folder]
+        if parts:
+            return self.spark.read.parquet(*map(self.path, sorted(parts)))
+        # All parts are cleared: any older folder has the columns.
+        log = self.spark.read.parquet(self.path("_commits"))
+        older = log.where(F.col("name").startswith(f"{name}#") & (F.col("folder") != "")).first()
+        return self.spark.read.parquet(self.path(older["folder"])).limit(0)
 
     def stage(self, name: str, df: DataFrame) -> str:
         """Write a table's next version; readers don't see it before ``commit``.
@@ -97,9 +105,34 @@ class Warehouse:
             values.setdefault(folders[r["folder"]], {})[r["metric"]] = r["value"]
         return {name: quality.Stored(self.spark, v) for name, v in values.items()}
 
+    def stage_parts(self, name: str, df: DataFrame, keys: list[str], cleared: list[tuple] | None = None) -> dict[str, str]:
+        """Write the next version of the parts of a table that ``df`` has, one for each value of ``keys``.
+
+        Parts named in ``cleared`` that ``df`` lacks become empty. Other parts stay.
+        A table has few parts: their values are listed on the driver. Nothing is
+        seen before ``commit``, which switches all parts, and other tables, at once.
+        """
+        folder = f"{name}/{uuid.uuid4().hex}"
+        part = F.md5(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).cast("binary"))
+        df.withColumn("_part", part).write.partitionBy("_part").parquet(self.path(folder))
+        written = sinks.read_if_present(self.spark, self.path(folder))
+        values = [] if written is None else written.select(F.col("_part").cast("string")).distinct().collect()
+        found = {r["_part"]: f"{folder}/_part={r['_part']}" for r in values}
+        if cleared:
+            kinds = [df.schema[k] for k in keys]
+            named = self.spark.createDataFrame(cleared, T.StructType([T.StructField(f.name, f.dataType) for f in kinds]))
+            found = {r["_part"]: "" for r in named.select(part.alias("_part")).collect()} | found
+        return {f"{name}#{p}": where for p, where in found.items()}
+
     def commit(self, folders: dict[str, str]) -> None:
-        """Switch tables to staged folders, all at once."""
+        """Switch tables to staged folders, all at once.
+
+        The number is claimed with a file that must not exist yet, so that no two
+        writers share one; a later number wins.
+        """
         number = 1 + max((n for n, _ in self.current().values()), default=0)
+        while not sinks.create_once(self.spark, self.path(f"_numbers/{number}")):
+            number += 1
         rows = [(number, name, folder) for name, folder in folders.items()]
         log = self.spark.createDataFrame(rows, "number long, name string, folder string")
         sinks.append(log.coalesce(1), self.path("_commits"))
@@ -159,21 +192,20 @@ def parse_climate(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def run_raw(wh: Warehouse, landing: Landing, run_ts: dt.datetime, source_name: str) -> DataFrame:
-    """Parse the landed files into the raw tables; returns the load summary."""
+    """Parse the landed files into the raw tables, which switch with one commit; returns the load summary."""
     stamp = timestamp(run_ts)
     measures, failed = parse_climate(listed_stations(landing.climate_pages, landing.station_pages))
     urls = landing.climate_pages.where(F.col("view") == TEMP_VIEW).select("station_code", "source_url")
     climate = measures.join(urls, on="station_code", how="left").withColumn("raw_ingested_at", stamp)
-    loaded = wh.rebuild("raw/climate", conform(climate, RAW_CLIMATE))
-    html.require_rows(loaded, "station data")
+    folders = {"raw/climate": wh.stage("raw/climate", conform(climate, RAW_CLIMATE))}
+    loaded = html.require_rows(wh.spark.read.parquet(wh.path(folders["raw/climate"])), "station data")
 
     for event_type, (body, header) in landing.event_files.items():
         wide = rename_aliases(wide_csv.read_wide_csv(wh.spark, body, header, encoding=landing.encoding))
         long = reshape.unpivot_years(wide, ["station_code_raw", "location_name_raw"])
         raw = staging.build_raw_events(long, event_type, source_name, body, "wide event table", stamp)
-        sinks.replace_partitions(
-            conform(raw, RAW_EVENTS), wh.path("raw/events"), ["source_name", "event_type", "data_status"]
-        )
+        folders |= wh.stage_parts("raw/events", conform(raw, RAW_EVENTS), ["source_name", "event_type", "data_status"])
+    wh.commit(folders)
     return quality.load_summary(loaded, failed, ["mean_temp_c", "precipitation_mm"])
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from bloomline.config import FIRST_BLOOM, PLAUSIBLE_DOY
 from bloomline.functions.dates import timestamp
 from bloomline.operators import distinct, marts, quality
-from bloomline.plans import adapters as a
+from bloomline.plans import adapters as a, jobs
 from bloomline.plans.adapters import table
 from bloomline.plans.registry import query
 from bloomline.plans.sql import FORECAST_DOUBLES, two_digits, with_
@@ -270,12 +270,15 @@ def _(spark, sf):
     return spark.read.parquet(path)
 
 
-@query("partition_replace", with_("raw_events", """
+PARTITION_SQL = with_("raw_events", """
 SELECT location_code, year, event_type, data_status, source_name, 'second' AS load
 FROM raw_events WHERE data_status = 'observed' AND event_type = 'sakura_bloom'
 UNION ALL
 SELECT location_code, year, event_type, data_status, source_name, 'first' AS load
-FROM raw_events WHERE data_status = 'observed' AND event_type <> 'sakura_bloom'"""))
+FROM raw_events WHERE data_status = 'observed' AND event_type <> 'sakura_bloom'""")
+
+
+@query("partition_replace", PARTITION_SQL)
 def _(spark, sf):
     path, keys = scratch_path(spark, "partitions"), ["source_name", "event_type", "data_status"]
     raw = a.raw_events(spark, sf).select(F.col("station_code_raw").alias("location_code"), "year", *keys)
@@ -288,6 +291,17 @@ def _(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("versioned_partition_replace", PARTITION_SQL)
+def _(spark, sf):
+    """The same three loads as versions of parts; the reload and the cleared part switch with one commit."""
+    wh, keys = jobs.Warehouse(spark, scratch_path(spark, "parts")), ["source_name", "event_type", "data_status"]
+    raw = a.raw_events(spark, sf).select(F.col("station_code_raw").alias("location_code"), "year", *keys)
+    wh.commit(wh.stage_parts("raw/events", raw.withColumn("load", F.lit("first")), keys))
+    again = raw.where((F.col("data_status") == "observed") & (F.col("event_type") == "sakura_bloom"))
+    wh.commit(wh.stage_parts("raw/events", again.withColumn("load", F.lit("second")), keys, [("shipments", "sakura_fullbloom", "estimated")]))
+    return wh.read("raw/events")
+
+
 @query("forecast_upsert", with_("forecast", """
 SELECT location_code, forecast_year, event_type, model_name, model_version, source_name FROM forecast
 UNION ALL

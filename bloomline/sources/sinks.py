@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -91,10 +92,25 @@ def write_forecast(spark: SparkSession, new: DataFrame, path: str) -> None:
     replace_partitions(new, path, keys)
 
 
+def create_once(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it exists. Of several writers one succeeds."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    file = jvm.Path(path)
+    system = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        system.create(file, False).close()
+    except Py4JJavaError:
+        if system.exists(file):
+            return False
+        raise
+    return True
+
+
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
+        # A folder without a single file was written from no rows.
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise

@@ -82,3 +82,49 @@ def test_bitmaps_of_loads(spark, monkeypatch, side_by_side):
     assert one == len({r[0] for r in data if r[2] == 0} - {None})
     nothing = distinct.bitmaps(df.limit(0), {"n": F.col("n")}, {"n": 10})
     assert distinct.distinct_counts(nothing, ["n"]).first()[0] == 0
+
+
+def test_parts_switch_with_one_commit(spark, tmp_path):
+    wh = jobs.Warehouse(spark, str(tmp_path), a.STATION_BASE, a.WIDTH)
+    rows_of = lambda: sorted((r.k or "", r.n, r.v) for r in wh.read("t").select("k", "n", "v").collect())
+    frame = lambda rows: spark.createDataFrame(rows, "k string, n int, v int")
+    wh.commit(wh.stage_parts("t", frame([("a", 1, 1), ("a", 2, 1), (None, 1, 1), ("b/ c", 1, 1)]), ["k", "n"]))
+    # One part replaced, one cleared, the others stay; nothing is seen before the commit.
+    staged = wh.stage_parts("t", frame([("a", 1, 2)]), ["k", "n"], cleared=[("b/ c", 1), ("a", 1)])
+    assert len(rows_of()) == 4
+    wh.commit(staged)
+    assert rows_of() == [("", 1, 1), ("a", 1, 2), ("a", 2, 1)]
+    wh.commit(wh.stage_parts("t", frame([]), ["k", "n"], cleared=[("a", 1), ("a", 2), (None, 1)]))
+    assert rows_of() == [] and wh.read("t").columns == ["k", "n", "v"]
+
+
+def test_writers_get_numbers_of_their_own(spark, tmp_path, monkeypatch):
+    wh = jobs.Warehouse(spark, str(tmp_path), a.STATION_BASE, a.WIDTH)
+    wh.rebuild("t", spark.range(1))
+    known = wh.current()
+    monkeypatch.setattr(jobs.Warehouse, "current", lambda self: known)  # what a second writer saw before the first one committed
+    wh.commit({"t": wh.stage("t", spark.range(2))})
+    wh.commit({"t": wh.stage("t", spark.range(3))})
+    monkeypatch.undo()
+    assert wh.read("t").count() == 3
+    log = spark.read.parquet(wh.path("_commits"))
+    assert log.count() == log.select("number").distinct().count() == 3
+
+
+def test_raw_tables_switch_together(spark, tmp_path, monkeypatch):
+    """An event file that can't be read leaves the climate of the run before."""
+    from bloomline.plans import queries_jobs
+    from bloomline.sources import wide_csv
+
+    wh = jobs.Warehouse(spark, str(tmp_path), a.STATION_BASE, a.WIDTH)
+    landing = queries_jobs.landing(spark, SF)
+    jobs.run_raw(wh, landing, dt.datetime(2026, 1, 1), "shipments")
+    before = wh.current()
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("unreadable")
+
+    monkeypatch.setattr(wide_csv, "read_wide_csv", broken)
+    with pytest.raises(RuntimeError, match="unreadable"):
+        jobs.run_raw(wh, landing, dt.datetime(2026, 1, 2), "shipments")
+    assert wh.current() == before
