@@ -187,8 +187,8 @@ def test_page_reading_is_linear():
     """Pages made to slow a reader down: open quotes, lone signs, deep nesting, comments without an end."""
     for part in ("<td a='", "<", "<table><tr><td>", "<!--", "<script>", "&", "</", "<td colspan="):
         start = time.perf_counter()
-        page_tables.read_table("<table></table><table><tr><td>" + part * 100_000, 1)
-        assert time.perf_counter() - start < 20, part
+        page_tables.read_table("<table></table><table><tr><td>" + part * 20_000, 1)
+        assert time.perf_counter() - start < 10, part
 
 
 def test_contract(spark):
