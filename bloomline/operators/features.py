@@ -2,8 +2,8 @@
 
 A target year looks at September to December of the year before and January to
 March of its own. Climate rows are first folded to *month cells* (one row per
-location, year and month with counts and sums), so repeated or hot rows combine
-before any shuffle, and each month is labelled with the one target year it feeds
+location, year and month with counts and sums, see ``cells``), so repeated or hot
+rows combine before any shuffle, and each month is labelled with the one target year it feeds
 instead of being joined to every event of its location.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from bloomline.config import BASELINE_YEARS, FIRST_BLOOM, LOCATION_WIDTH, REQUIRED_FEATURES
 from bloomline.functions.codes import location_code, pad_location
 from bloomline.functions.dates import forecast_year
+from bloomline.operators.cells import SEASON, cell_normals, location_cells, month_cells
 from bloomline.operators.reshape import month_grid
 
 # Months that feed each feature.
@@ -27,7 +28,6 @@ TEMPERATURE_MEANS = {
     "february_mean_temp": [2],
     "march_mean_temp": [3],
 }
-SEASON = [9, 10, 11, 12, 1, 2, 3]
 
 
 def climate_normals(
@@ -62,26 +62,6 @@ def fill_with_normals(climate: DataFrame, normals: DataFrame, width: int = LOCAT
     )
 
 
-def month_cells(climate: DataFrame, width: int) -> DataFrame:
-    """Season months folded to counts and sums per location, year and month."""
-    d = F.col("date_key")
-    return (
-        climate.where(F.month(d).isin(SEASON))
-        .groupBy(
-            location_code(F.col("station_code"), width).alias("location_code"),
-            F.year(d).alias("year"),
-            F.month(d).alias("month"),
-        )
-        .agg(
-            F.count("*").alias("n"),
-            F.count("mean_temp_c").alias("temp_n"),
-            F.sum("mean_temp_c").alias("temp_sum"),
-            F.count("precipitation_mm").alias("precip_n"),
-            F.sum("precipitation_mm").alias("precip_sum"),
-        )
-    )
-
-
 def with_normals(cells: DataFrame, first: int, last: int) -> DataFrame:
     """Month cells next to the normals of their location and month.
 
@@ -136,8 +116,12 @@ def season_features(
     width: int = LOCATION_WIDTH,
 ) -> DataFrame:
     """Features of every (location, target year) the climate covers."""
-    cells = with_normals(month_cells(climate, width), *baseline)
-    seasons = cells.select(
+    return season_features_of(month_cells(climate, width), baseline)
+
+
+def season_features_of(cells: DataFrame, baseline: tuple[int, int] = BASELINE_YEARS) -> DataFrame:
+    """The same from month cells, one per location, year and season month."""
+    seasons = with_normals(cells, *baseline).select(
         "location_code",
         F.expr("year + CASE WHEN month >= 9 THEN 1 ELSE 0 END AS year"),
         "month",
@@ -159,12 +143,28 @@ def training_features(
     of the same location and year, as a join ahead of the aggregation would do;
     by default they are the plain sums, matching ``prediction_features``.
     """
+    return _with_features(events, season_features(climate, baseline, width), event_fanout, width)
+
+
+def stored_training_features(
+    events: DataFrame,
+    stored: DataFrame,
+    event_fanout: bool = False,
+    baseline: tuple[int, int] = BASELINE_YEARS,
+    width: int = LOCATION_WIDTH,
+) -> DataFrame:
+    """``training_features`` out of stored month cells."""
+    features = season_features_of(location_cells(stored, SEASON), baseline)
+    return _with_features(events, features, event_fanout, width)
+
+
+def _with_features(events: DataFrame, features: DataFrame, event_fanout: bool, width: int) -> DataFrame:
     dated = events.where(F.col("date_key").isNotNull() & F.col("day_of_year").isNotNull()).select(
         pad_location(F.col("location_code"), width).alias("location_code"),
         "year", "event_type", F.col("date_key").alias("event_date"),
         "day_of_year", "data_status", "source_name",
     )
-    features = season_features(climate, baseline, width).dropna(subset=REQUIRED_FEATURES)
+    features = features.dropna(subset=REQUIRED_FEATURES)
     if event_fanout:
         rows = dated.groupBy("location_code", "year").agg(F.count("*").alias("_rows"))
         features = features.join(rows, on=["location_code", "year"]).withColumns({
@@ -212,6 +212,30 @@ def prediction_features(
         width,
     )
     normals = climate_normals(climate.where(F.month(d).isin(SEASON)), *baseline, width)
+    return _coming_season(grid, actual, normals, event_type)
+
+
+def stored_prediction_features(
+    events: DataFrame,
+    stored: DataFrame,
+    as_of: dt.date | Column | None = None,
+    event_type: str = FIRST_BLOOM,
+    baseline: tuple[int, int] = BASELINE_YEARS,
+    width: int = LOCATION_WIDTH,
+) -> DataFrame:
+    """``prediction_features`` out of stored month cells.
+
+    Years and months are columns of the cells, so both filters reach the scan.
+    """
+    grid = prediction_grid(events, as_of, event_type, width)
+    y, month = forecast_year(as_of), F.col("month")
+    coming = ((F.col("year") == y - 1) & (month >= 9)) | ((F.col("year") == y) & (month <= 3))
+    normals = cell_normals(stored.where(month.isin(SEASON)), *baseline)
+    return _coming_season(grid, location_cells(stored.where(coming)), normals, event_type)
+
+
+def _coming_season(grid: DataFrame, actual: DataFrame, normals: DataFrame, event_type: str) -> DataFrame:
+    """Grid months with their cells, missing values taken from the normals, folded to features."""
     months = grid.join(actual, on=["location_code", "year", "month"], how="left").join(
         normals, on=["location_code", "month"], how="left"
     )

@@ -18,7 +18,7 @@ from bloomline.config import (
 )
 from bloomline.functions.dates import timestamp
 from bloomline.functions.text import rename_aliases
-from bloomline.operators import features, forecast as fc, marts, model, quality, reshape, staging
+from bloomline.operators import cells, features, forecast as fc, marts, model, quality, reshape, staging
 from bloomline.schemas import FORECAST, FORECAST_KEY, RAW_CLIMATE, RAW_EVENTS, STATION_METADATA
 from bloomline.session import materialize
 from bloomline.sources import html, sinks, wide_csv
@@ -39,6 +39,11 @@ OBSERVED = {
 }
 
 
+def part_of(keys: list[str]) -> Column:
+    """Name of a row's part of a table."""
+    return F.md5(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).cast("binary"))
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Parquet tables below one root, a folder per layer and table.
@@ -105,24 +110,41 @@ class Warehouse:
             values.setdefault(folders[r["folder"]], {})[r["metric"]] = r["value"]
         return {name: quality.Stored(self.spark, v) for name, v in values.items()}
 
-    def stage_parts(self, name: str, df: DataFrame, keys: list[str], cleared: list[tuple] | None = None) -> dict[str, str]:
+    def stage_parts(
+        self, name: str, df: DataFrame, keys: list[str], cleared: list[tuple] | None = None, whole: bool = False
+    ) -> dict[str, str]:
         """Write the next version of the parts of a table that ``df`` has, one for each value of ``keys``.
 
-        Parts named in ``cleared`` that ``df`` lacks become empty. Other parts stay.
+        Parts named in ``cleared``, or with ``whole`` all parts, that ``df`` lacks become empty. Other parts stay.
         A table has few parts: their values are listed on the driver. Nothing is
         seen before ``commit``, which switches all parts, and other tables, at once.
         """
         folder = f"{name}/{uuid.uuid4().hex}"
-        part = F.md5(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).cast("binary"))
-        df.withColumn("_part", part).write.partitionBy("_part").parquet(self.path(folder))
+        df.withColumn("_part", part_of(keys)).write.partitionBy("_part").parquet(self.path(folder))
         written = sinks.read_if_present(self.spark, self.path(folder))
         values = [] if written is None else written.select(F.col("_part").cast("string")).distinct().collect()
         found = {r["_part"]: f"{folder}/_part={r['_part']}" for r in values}
         if cleared:
-            kinds = [df.schema[k] for k in keys]
-            named = self.spark.createDataFrame(cleared, T.StructType([T.StructField(f.name, f.dataType) for f in kinds]))
-            found = {r["_part"]: "" for r in named.select(part.alias("_part")).collect()} | found
-        return {f"{name}#{p}": where for p, where in found.items()}
+            found = dict.fromkeys(self.part_names(df.schema, keys, cleared), "") | found
+        staged = {f"{name}#{p}": where for p, where in found.items()}
+        if whole:
+            staged = {n: "" for n in self.current() if n.startswith(f"{name}#")} | staged
+        return staged
+
+    def part_names(self, schema: T.StructType, keys: list[str], values: list[tuple]) -> list[str]:
+        kinds = T.StructType([T.StructField(k, schema[k].dataType) for k in keys])
+        named = self.spark.createDataFrame(values, kinds)
+        return [r["_part"] for r in named.select(part_of(keys).alias("_part")).collect()]
+
+    def read_parts(self, name: str, like: DataFrame, keys: list[str], values: list[tuple]) -> DataFrame:
+        """The named parts of a table; without any of them no rows, in the columns of ``like``."""
+        wanted = {f"{name}#{p}" for p in self.part_names(like.schema, keys, values)} if values else set()
+        return self.read_folders({n: folder for n, (_, folder) in self.current().items() if n in wanted}, like)
+
+    def read_folders(self, folders: dict[str, str], like: DataFrame) -> DataFrame:
+        """Staged or committed folders as one table; without any of them no rows, in the columns of ``like``."""
+        paths = sorted(self.path(folder) for folder in folders.values() if folder)
+        return self.spark.read.parquet(*paths) if paths else self.spark.createDataFrame([], like.schema)
 
     def commit(self, folders: dict[str, str]) -> None:
         """Switch tables to staged folders, all at once.
@@ -237,18 +259,61 @@ def build_marts(
 
 
 def run_marts(wh: Warehouse, as_of: dt.date | Column | None = None) -> None:
-    """Write the marts, then both feature tables from the written facts; one commit for all."""
+    """Write the marts, then the month cells and from them both feature tables; one commit for all."""
     layer = build_marts(
         wh.read("staging/climate"), wh.read("staging/events"), wh.read("staging/metadata"), wh.station_base
     )
     folders = {f"marts/{name}": wh.stage(f"marts/{name}", df) for name, df in layer.items()}
     written = lambda name: wh.spark.read.parquet(wh.path(folders[f"marts/{name}"]))
-    events, climate = written("fact_events"), written("fact_climate")
+    folded = cells.station_cells(written("fact_climate"), wh.width)
+    parts = stage_cells(wh, folded, whole=True)
+    stored = wh.read_folders(parts, folded)
+    wh.commit(folders | parts | stage_features(wh, written("fact_events"), stored, as_of))
+
+
+CELLS = "marts/month_cells"
+
+
+def stage_cells(wh: Warehouse, folded: DataFrame, **parts) -> dict[str, str]:
+    """Write month cells in parts by year; small years share tasks, large ones are split over several."""
+    return wh.stage_parts(CELLS, folded.hint("rebalance", F.col("year")), ["year"], **parts)
+
+
+def stage_features(
+    wh: Warehouse, events: DataFrame, stored: DataFrame, as_of: dt.date | Column | None
+) -> dict[str, str]:
+    """Write both feature tables out of month cells."""
     built = {
-        "training_features": features.training_features(events, climate, width=wh.width),
-        "prediction_features": features.prediction_features(events, climate, as_of, width=wh.width),
+        "training_features": features.stored_training_features(events, stored, width=wh.width),
+        "prediction_features": features.stored_prediction_features(events, stored, as_of, width=wh.width),
     }
-    wh.commit(folders | {f"marts/{name}": wh.stage(f"marts/{name}", df) for name, df in built.items()})
+    return {f"marts/{name}": wh.stage(f"marts/{name}", df) for name, df in built.items()}
+
+
+def load_climate(
+    wh: Warehouse,
+    rows: DataFrame,
+    as_of: dt.date | Column | None = None,
+    cleared: list[tuple[str, int]] | None = None,
+) -> None:
+    """Bring the month cells and features forward with climate rows of some station years.
+
+    ``rows`` has every row of each station year it has any of, in the columns of
+    the climate fact; ``cleared`` lists station years that have none any more.
+    Only the calendar years met are read and written again, the climate fact not
+    at all: it follows with the next ``run_marts``. Cells and features switch
+    with one commit. Loads of one warehouse come one after the other.
+    """
+    load = materialize(cells.station_cells(rows, wh.width), "month-cells")
+    gone = wh.spark.createDataFrame(cleared, "station_code string, year int") if cleared else None
+    # Bounded by the calendar.
+    years = {r["year"] for r in load.select("year").distinct().collect()} | {year for _, year in cleared or []}
+    touched = [(year,) for year in sorted(years)]
+    before = wh.read_parts(CELLS, load, ["year"], touched)
+    after = stage_cells(wh, cells.replace_station_years(before, load, gone), cleared=touched)
+    current = {n: folder for n, (_, folder) in wh.current().items() if n.startswith(f"{CELLS}#")}
+    stored = wh.read_folders(current | after, load)
+    wh.commit(after | stage_features(wh, wh.read("marts/fact_events"), stored, as_of))
 
 
 def run_forecast(

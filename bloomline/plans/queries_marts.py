@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from bloomline.config import CANDIDATE_MODELS, FEATURES, TARGET
 from bloomline.functions.labels import prediction_status
-from bloomline.operators import features, forecast as fc, marts, model
+from bloomline.operators import cells, features, forecast as fc, marts, model
 from bloomline.operators.linear import fold_models, gram_sums, held_out_prediction
-from bloomline.plans import adapters as a
+from bloomline.plans import adapters as a, jobs
 from bloomline.plans.registry import query
 from bloomline.plans.sql import FEATURE_DOUBLES, FORECAST_DOUBLES, pad, prediction_sql, with_, with_lines
 from bloomline.session import materialize, scratch_path
@@ -130,6 +130,52 @@ def _(spark, sf):
     )
 
 
+# --- Stored month cells
+
+def forwarded_warehouse(spark, sf):
+    """Cells and features of a first load, brought forward by a second one.
+
+    The first load has the even years of one half of the stations wrong, lacks
+    those of the other half, and has a year that the second load clears.
+    """
+    wh = jobs.Warehouse(spark, scratch_path(spark, "month-cells"), a.STATION_BASE, W)
+    wh.rebuild("marts/fact_events", a.events(spark, sf))
+    climate = materialize(a.climate(spark, sf), "climate")
+    even, late = F.year("date_key") % 2 == 0, F.col("station_code").cast("long") % 2 == 0
+    withdrawn = climate.orderBy("station_code").limit(1).select("station_code", F.make_date(F.lit(1950), F.lit(2), F.lit(1)).alias("date_key"),
+                                                               F.lit(9.0).alias("mean_temp_c"), F.lit(9.0).alias("precipitation_mm"))
+    wrong = climate.where(~(even & late)).withColumn("mean_temp_c", F.when(even, F.col("mean_temp_c") + 1).otherwise(F.col("mean_temp_c")))
+    jobs.load_climate(wh, wrong.unionByName(withdrawn), a.AUTUMN_RUN)
+    jobs.load_climate(wh, climate.where(even), a.AUTUMN_RUN, [(r["station_code"], 1950) for r in withdrawn.collect()])
+    return wh
+
+
+@query("month_cells_forwarded", with_("climate", f"""
+SELECT station_code, right(station_code, {W}) AS location_code, CAST(year(date_key) AS INTEGER) AS year,
+       CAST(month(date_key) AS INTEGER) AS month, count(*) AS n, count(mean_temp_c) AS temp_n, sum(mean_temp_c) AS temp_sum,
+       count(precipitation_mm) AS precip_n, sum(precipitation_mm) AS precip_sum
+FROM climate GROUP BY 1, 2, 3, 4"""), doubles="temp_sum precip_sum")
+def _(spark, sf):
+    """Stored cells after a second load: those of the final rows."""
+    return forwarded_warehouse(spark, sf).read(jobs.CELLS)
+
+
+@query("climate_normals_stored", with_("normals", "SELECT * FROM normals"), doubles="avg_temp avg_precip")
+def _(spark, sf):
+    return cells.cell_normals(cells.station_cells(a.climate(spark, sf), W))
+
+
+@query("training_features_forwarded", with_("training", "SELECT * FROM training"), doubles=FEATURE_DOUBLES)
+def _(spark, sf):
+    """Training features from cells that a second load brought forward."""
+    return forwarded_warehouse(spark, sf).read("marts/training_features")
+
+
+@query("prediction_features_forwarded", prediction_sql(2002), doubles=FEATURE_DOUBLES)
+def _(spark, sf):
+    return forwarded_warehouse(spark, sf).read("marts/prediction_features")
+
+
 # --- Model input, splits, metrics, forecasts
 
 @query("model_training_set", with_("training", """
