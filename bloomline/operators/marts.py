@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bloomline.config import FIRST_BLOOM, FULL_BLOOM, MAX_GAP_DAYS, STATION_BASE
 from bloomline.functions.codes import location_number
 from bloomline.functions.dates import season
+from bloomline.session import scratch_path
 
 
 def dim_date(staged_events: DataFrame) -> DataFrame:
     """Distinct event dates; attributes are derived after the dedupe."""
     dates = staged_events.select(F.col("event_date").alias("date_key")).dropna().distinct()
+    return _dated(dates)
+
+
+def _dated(dates: DataFrame) -> DataFrame:
     d = F.col("date_key")
     return dates.select(
         d,
@@ -25,7 +30,10 @@ def dim_date(staged_events: DataFrame) -> DataFrame:
 
 
 def dim_month(staged_climate: DataFrame) -> DataFrame:
-    months = staged_climate.select(F.col("month_start_date").alias("date_key")).distinct()
+    return _monthly(staged_climate.select(F.col("month_start_date").alias("date_key")).distinct())
+
+
+def _monthly(months: DataFrame) -> DataFrame:
     d = F.col("date_key")
     return months.select(
         d,
@@ -47,6 +55,10 @@ def dim_station(staged_climate: DataFrame, metadata: DataFrame, base: int = STAT
         F.max("month_start_date").alias("last_observation"),
         F.count("*").alias("record_count"),
     )
+    return _located(profile, metadata, base)
+
+
+def _located(profile: DataFrame, metadata: DataFrame, base: int) -> DataFrame:
     located = profile.join(
         metadata.select("station_code", "latitude", "longitude"), on="station_code", how="left"
     )
@@ -66,6 +78,55 @@ def dim_location(staged_events: DataFrame) -> DataFrame:
     )
 
 
+def one_scan(staged: DataFrame, name: str, profile: list[str], single: str, aggregates: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """Groups by ``profile`` and distinct values of ``single`` from one scan.
+
+    The grouping sets are folded together and written once, a folder for each;
+    the grouping id tells a missing key from one that isn't grouped by.
+    """
+    which = F.grouping_id().cast("int")
+    folded = staged.groupingSets([profile, [single]], *profile, single).agg(which.alias("_grouped"), *aggregates)
+    path = scratch_path(staged.sparkSession, name)
+    folded.write.partitionBy("_grouped").parquet(path)
+    # Bits of the id stand for the keys in order, set where a key is not grouped by.
+    stored = staged.sparkSession.read.schema(folded.schema).parquet(path)
+    of_profile = stored.where(F.col("_grouped") == 1).drop("_grouped", single)
+    of_single = stored.where(F.col("_grouped") == (1 << (len(profile) + 1)) - 2).select(single)
+    return of_profile, of_single
+
+
+def climate_dimensions(
+    staged_climate: DataFrame, metadata: DataFrame, base: int = STATION_BASE
+) -> dict[str, DataFrame]:
+    """``dim_station`` and ``dim_month`` from one scan of the staged climate."""
+    stations, months = one_scan(
+        staged_climate.withColumn("_month", F.col("month_start_date")), "climate-dimensions", ["station_code", "station_name"], "_month", [
+            F.min("month_start_date").alias("first_observation"),
+            F.max("month_start_date").alias("last_observation"),
+            F.count("*").alias("record_count"),
+        ]
+    )
+    return {
+        "dim_station": _located(stations, metadata, base),
+        "dim_month": _monthly(months.withColumnRenamed("_month", "date_key")),
+    }
+
+
+def event_dimensions(staged_events: DataFrame) -> dict[str, DataFrame]:
+    """``dim_location`` and ``dim_date`` from one scan of the staged events."""
+    locations, dates = one_scan(
+        staged_events, "event-dimensions", ["location_code", "location_name"], "event_date", [
+            F.min("year").alias("first_year"),
+            F.max("year").alias("last_year"),
+            F.count("*").alias("record_count"),
+        ]
+    )
+    return {
+        "dim_location": locations,
+        "dim_date": _dated(dates.dropna().withColumnRenamed("event_date", "date_key")),
+    }
+
+
 def fact_climate(staged_climate: DataFrame) -> DataFrame:
     return staged_climate.select(
         "station_code", F.col("month_start_date").alias("date_key"), "mean_temp_c", "precipitation_mm"

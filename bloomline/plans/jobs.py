@@ -242,29 +242,24 @@ def run_staging(wh: Warehouse, caption_pages: DataFrame, run_ts: dt.datetime) ->
     verify(html.require_rows(table, "station metadata"), STATION_METADATA)
 
 
-def build_marts(
+def build_dimensions(
     climate: DataFrame, events: DataFrame, metadata: DataFrame, base: int = STATION_BASE
 ) -> dict[str, DataFrame]:
-    """Dimensions, facts and the gap mart as lazy frames."""
-    fact = marts.fact_events(events)
-    return {
-        "dim_date": marts.dim_date(events),
-        "dim_month": marts.dim_month(climate),
-        "dim_station": marts.dim_station(climate, metadata, base),
-        "dim_location": marts.dim_location(events),
-        "fact_climate": marts.fact_climate(climate),
-        "fact_events": fact,
-        "event_gap": marts.event_gap(fact),
-    }
+    """All dimensions, from one scan of each staged table."""
+    return marts.event_dimensions(events) | marts.climate_dimensions(climate, metadata, base)
 
 
 def run_marts(wh: Warehouse, as_of: dt.date | Column | None = None) -> None:
-    """Write the marts, then the month cells and from them both feature tables; one commit for all."""
-    layer = build_marts(
-        wh.read("staging/climate"), wh.read("staging/events"), wh.read("staging/metadata"), wh.station_base
-    )
+    """Write the marts, then the month cells and from them both feature tables; one commit for all.
+
+    Each staged table is scanned once for its dimensions and once for its fact.
+    """
+    climate, events = wh.read("staging/climate"), wh.read("staging/events")
+    layer = build_dimensions(climate, events, wh.read("staging/metadata"), wh.station_base)
+    layer |= {"fact_climate": marts.fact_climate(climate), "fact_events": marts.fact_events(events)}
     folders = {f"marts/{name}": wh.stage(f"marts/{name}", df) for name, df in layer.items()}
     written = lambda name: wh.spark.read.parquet(wh.path(folders[f"marts/{name}"]))
+    folders["marts/event_gap"] = wh.stage("marts/event_gap", marts.event_gap(written("fact_events")))
     folded = cells.station_cells(written("fact_climate"), wh.width)
     parts = stage_cells(wh, folded, whole=True)
     stored = wh.read_folders(parts, folded)

@@ -52,6 +52,38 @@ def _(spark, sf):
     return marts.dim_location(a.staged_events(spark, sf))
 
 
+def all_dimensions(spark, sf):
+    return jobs.build_dimensions(a.staged_climate(spark, sf), a.staged_events(spark, sf), a.metadata(spark, sf), a.STATION_BASE)
+
+
+@query("dimensions_one_scan", with_("dim_station dim_month dim_location dim_date", """
+SELECT 'dim_station' AS dim, station_code || '|' || location_code || '|' || station_name AS member, first_observation AS first_day,
+       last_observation AS last_day, record_count AS n, latitude, longitude, CAST(NULL AS VARCHAR) AS season FROM dim_station
+UNION ALL SELECT 'dim_month', year || '|' || month || '|' || quarter, date_key, date_key, NULL, NULL, NULL, season FROM dim_month
+UNION ALL SELECT 'dim_location', location_code || '|' || location_name, make_date(first_year, 1, 1), make_date(last_year, 1, 1),
+       record_count, NULL, NULL, NULL FROM dim_location
+UNION ALL SELECT 'dim_date', year || '|' || month || '|' || day || '|' || day_of_year || '|' || quarter, date_key, date_key,
+       NULL, NULL, NULL, season FROM dim_date"""), doubles="latitude longitude")
+def _(spark, sf):
+    """All four dimensions, from one scan of each staged table."""
+    dims, none = all_dimensions(spark, sf), F.lit(None)
+
+    def members(name, keys, first, last, n=none, latitude=none, longitude=none, season=none):
+        return dims[name].select(
+            F.lit(name).alias("dim"), F.concat_ws("|", *keys).alias("member"), first.alias("first_day"), last.alias("last_day"),
+            n.cast("long").alias("n"), latitude.cast("double").alias("latitude"), longitude.cast("double").alias("longitude"),
+            season.cast("string").alias("season"))
+
+    day, january = F.col("date_key"), lambda year: F.make_date(F.col(year), F.lit(1), F.lit(1))
+    return (
+        members("dim_station", ["station_code", "location_code", "station_name"], F.col("first_observation"), F.col("last_observation"),
+                F.col("record_count"), F.col("latitude"), F.col("longitude"))
+        .unionByName(members("dim_month", ["year", "month", "quarter"], day, day, season=F.col("season")))
+        .unionByName(members("dim_location", ["location_code", "location_name"], january("first_year"), january("last_year"), F.col("record_count")))
+        .unionByName(members("dim_date", ["year", "month", "day", "day_of_year", "quarter"], day, day, season=F.col("season")))
+    )
+
+
 @query("fact_climate", with_("fact_climate", "SELECT * FROM fact_climate"),
        doubles="mean_temp_c precipitation_mm")
 def _(spark, sf):

@@ -93,6 +93,29 @@ def test_dimensions(spark):
         (D(2000, 1, 1), 1, "Winter"), (D(2000, 5, 1), 2, "Spring")}
 
 
+def test_dimensions_from_one_scan(spark, tmp_path):
+    """The same rows as from a scan for each, missing keys and empty tables included."""
+    rng = random.Random(6)
+    some = lambda *values: rng.choice([None, *values])
+    climate = [(some("47047", "47100"), some("S", "T"), some(D(2000, 1, 1), D(2000, 5, 1), D(1999, 12, 1))) for _ in range(60)]
+    events = [(some("1", "2"), some("S", "T"), some(D(2000, 3, 31), D(2001, 4, 2)), some(2000, 2001)) for _ in range(60)]
+    meta = spark.createDataFrame([("47047", 1.0, 2.0)], "station_code string, latitude double, longitude double")
+    for i, n in enumerate((60, 1, 0)):
+        path = f"{tmp_path}/climate{i}"
+        spark.createDataFrame(climate[:n], "station_code string, station_name string, month_start_date date").repartition(3).write.parquet(path)
+        staged = spark.read.parquet(path)
+        dated = spark.createDataFrame(events[:n], "location_code string, location_name string, event_date date, year int").repartition(3)
+        got = marts.climate_dimensions(staged, meta) | marts.event_dimensions(dated)
+        want = {"dim_station": marts.dim_station(staged, meta), "dim_month": marts.dim_month(staged),
+                "dim_location": marts.dim_location(dated), "dim_date": marts.dim_date(dated)}
+        assert got.keys() == want.keys()
+        for name, df in got.items():
+            assert df.columns == want[name].columns and df.dtypes == want[name].dtypes
+            assert sorted(map(str, df.collect())) == sorted(map(str, want[name].collect())), name
+            # What is read back is the written groups, not the staged table.
+            assert path not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def climate_rows(rng, codes, years):
     """Months with gaps, missing measures and repeated rows."""
     rows = []
