@@ -148,17 +148,23 @@ def best_fit(lengths: list[int], capacity: int, open_bins: int) -> tuple[list[in
     return where, offset
 
 
-def _pack_once(items: DataFrame, groups: int, capacity: int, open_bins: int) -> DataFrame:
-    """Pack items (id, length) within hashed groups: adds group, bin and offset."""
+#: Bits of a sequence's number: round, group, bin within the group.
+GROUP_BITS, BIN_BITS = 38, 18
+ROUNDS, LARGEST_GROUP = 127, 1 << (BIN_BITS - 2)
+LEAST_SAVED = 1 / 256  # a round that saves a smaller share of the bins it packed again is the last
+
+
+def _pack_once(items: DataFrame, groups: int, level: int, capacity: int, open_bins: int) -> DataFrame:
+    """Pack items (id, length) within hashed groups: adds offset and sequence, a number of its own for each round, group and bin."""
     def pack(table: pa.Table) -> pa.Table:
         table = table.sort_by([("length", "descending"), ("id", "ascending")])
         where, offset = best_fit(table["length"].to_pylist(), capacity, open_bins)
-        return pa.table({"id": table["id"], "length": table["length"], "group": table["group"],
-                         "bin": pa.array(where, pa.int64()), "offset": pa.array(offset, pa.int64())})
+        first = (level << GROUP_BITS | table["group"][0].as_py()) << BIN_BITS
+        return pa.table({"id": table["id"], "length": table["length"],
+                         "sequence": pa.array([first + b for b in where], pa.int64()), "offset": pa.array(offset, pa.int64())})
 
-    kind = items.schema["id"].dataType.simpleString()
     return (items.withColumn("group", F.pmod(F.xxhash64("id"), F.lit(groups)))
-            .groupBy("group").applyInArrow(pack, f"id {kind}, length long, group long, bin long, offset long"))
+            .groupBy("group").applyInArrow(pack, "id long, length long, sequence long, offset long"))
 
 
 def pack_sequences(docs: DataFrame, vocabulary: str, capacity: int = 2048, separator: int = 0,
@@ -172,33 +178,45 @@ def pack_sequences(docs: DataFrame, vocabulary: str, capacity: int = 2048, separ
 
     Pieces are written once. Pieces of full length are sequences already. The
     rest are dealt by hash into groups of about ``group_items``; each group is
-    packed by bounded-space best fit. Bins that are left with much room are items
-    of the next round, which has so many groups fewer, until one group is left.
+    packed by bounded-space best fit. Bins with room for the shortest one left are
+    items of the next round, dealt anew into groups of the same size, until one
+    group holds them or a round hardly saves any.
     """
+    if group_items > LARGEST_GROUP:
+        raise ValueError(f"group_items is at most {LARGEST_GROUP}")
     pieces = materialize(
         cut_pieces(docs, vocabulary, capacity, separator, key, text).withColumn("id", F.monotonically_increasing_id()),
         "pieces")
+    # Numbers of packed sequences are 0 or more.
     full = pieces.where(F.col("length") == capacity).select(
-        "*", F.concat(F.lit("f"), F.col("id")).alias("sequence"), F.lit(0).cast("long").alias("offset"))
+        "*", (-1 - F.col("id")).alias("sequence"), F.lit(0).cast("long").alias("offset"))
     items = pieces.where(F.col("length") < capacity).select("id", "length")
     groups = max(1, math.ceil(items.count() / group_items))
-    placed = materialize(_pack_once(items, groups, capacity, open_bins), "packed")
-    name = lambda level: F.concat_ws("-", F.lit(f"r{level}"), "group", "bin")
-    placed = placed.select("id", name(0).alias("sequence"), "offset", "length")
+    placed = materialize(_pack_once(items, groups, 0, capacity, open_bins), "packed")
     level = 0
-    while groups > 1:
+    while groups > 1 and level < ROUNDS:
         level += 1
         bins = placed.groupBy("sequence").agg(F.sum("length").alias("length"))
         slack = bins.where(F.col("length") <= capacity - capacity // 64).withColumnRenamed("sequence", "id")
         slack = materialize(slack, "slack")
-        fewer = max(1, min(groups // 2, math.ceil(slack.count() / group_items)))
-        moved = materialize(_pack_once(slack, fewer, capacity, open_bins), "repacked").select(
-            F.col("id").alias("sequence"), name(level).alias("to"), F.col("offset").alias("shift"))
+        # A bin without room for the shortest one can't be put together with any.
+        shortest = slack.agg(F.min("length")).first()[0]
+        if shortest is None:
+            break
+        slack = slack.where(F.col("length") <= capacity - shortest)
+        before = slack.count()
+        if before < 2:
+            break
+        groups = max(1, math.ceil(before / group_items))
+        moved = materialize(_pack_once(slack, groups, level, capacity, open_bins), "repacked").select(
+            F.col("id").alias("sequence"), F.col("sequence").alias("to"), F.col("offset").alias("shift"))
         placed = placed.join(moved, "sequence", "left").select(
             "id", F.coalesce("to", "sequence").alias("sequence"),
             (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"), "length")
-        groups = fewer
+        # A bin's first item lies at its beginning.
+        if before - moved.where("shift = 0").count() < LEAST_SAVED * before:
+            break
     rest = pieces.join(placed.drop("length"), "id").select(*full.columns)
     out = full.unionByName(rest)
     return out.select(F.col("key").alias(key), "piece", "start", "length", "ids_crc32",
-                      F.xxhash64("sequence").alias("sequence_id"), "offset")
+                      F.col("sequence").alias("sequence_id"), "offset")

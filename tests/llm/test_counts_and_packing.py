@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
+from bloomline.llm import packing
 from bloomline.llm.packing import best_fit, encoder, pack_sequences
 from bloomline.llm.queries import vocabulary
 from bloomline.llm.token_counts import counter, token_counts
@@ -105,3 +106,33 @@ def test_pack_sequences(docs, texts, word_bpe, group_items):
 
 def test_pack_nothing(empty):
     assert pack_sequences(empty, vocabulary("word_bpe_49k.json")).collect() == []
+
+
+def test_bins_over_half_full_end_the_rounds(spark, word_bpe, monkeypatch):
+    """Documents of which no two fit together stay in groups of the same size; small ones still fill them up."""
+    sizes = []
+    best = packing._pack_once
+
+    def counted(items, groups, *rest):
+        sizes.append((groups, items.count()))
+        return best(items, groups, *rest)
+
+    monkeypatch.setattr(packing, "_pack_once", counted)
+    large = [(i, "the " * 40) for i in range(400)]
+    rows = pack_sequences(spark.createDataFrame(large, "doc_id long, text string"), vocabulary("word_bpe_49k.json"), 64,
+                          group_items=20).collect()
+    assert check_packing(rows, large, word_bpe, 64)[0] == 400
+    assert sizes == [(20, 400)]  # no second round: none fits with another
+
+    sizes.clear()
+    mixed = large + [(400 + i, "the " * 20) for i in range(400)]
+    rows = pack_sequences(spark.createDataFrame(mixed, "doc_id long, text string"), vocabulary("word_bpe_49k.json"), 64,
+                          group_items=20).collect()
+    # Groups with more small ones than large ones put three of them (63 tokens) into a bin; that stays.
+    assert check_packing(rows, mixed, word_bpe, 64)[0] <= 1.1 * 400
+    assert all(count <= 20 * groups for groups, count in sizes)
+
+
+def test_groups_have_a_largest_size(empty):
+    with pytest.raises(ValueError, match="group_items"):
+        pack_sequences(empty, vocabulary("word_bpe_49k.json"), group_items=packing.LARGEST_GROUP + 1)
