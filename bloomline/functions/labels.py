@@ -23,8 +23,11 @@ def anomaly_class(forecast_doy: Column, average_doy: Column) -> Column:
 
 
 def reliability_class(station_mae: Column, mae: Column, limit: float = LOW_RELIABILITY_MAE) -> Column:
-    """``low`` above the limit, else the error as ``±n d``."""
-    error = F.coalesce(station_mae, mae)
+    """``low`` above the limit, else the error as ``±n d``, ties to the even number.
+
+    A mean's last digits depend on the order of its sum: they go first, so that 13.499999999999998 is a tie.
+    """
+    error = F.round(F.coalesce(station_mae, mae), 9)
     return (
         F.when(error.isNull(), "none")
         .when(error > limit, "low")

@@ -110,6 +110,8 @@ def test_classes(spark):
     ]
     own = lambda c: labels.reliability_class(c, F.lit(None).cast("double"))
     assert apply(spark, own, [20.5, 20.0, 2.5, 3.5, None], "double") == ["low", "±20 d", "±2 d", "±4 d", "none"]
+    # Means of the same errors, added up in another order.
+    assert apply(spark, own, [13.499999999999998, 12.500000000000002, 20.000000000000004], "double") == ["±14 d", "±12 d", "±20 d"]
     assert apply(spark, labels.label_lookup, ["random_forest", "other"]) == ["Random Forest", "other"]
     assert apply(spark, labels.prediction_status, [True, False, None], "boolean") == [
         "estimated", "predicted", "predicted"
