@@ -134,21 +134,28 @@ class Trie:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, counts: np.ndarray):
         """``data`` and ``offsets`` hold the tokens in byte order, each opened by its topic and closed by ``END``."""
+        # A shard has far fewer than 2^31 bytes; what is as long as all tokens together is narrow and let go early.
         sizes = np.diff(offsets)
-        token = np.repeat(np.arange(len(sizes)), sizes)
-        place = np.arange(len(data)) - offsets[:-1][token]
+        token = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        place = np.arange(len(data), dtype=np.int32)
+        place -= offsets[:-1].astype(np.int32)[token]
         prefix = self._prefixes(data, offsets, token, place)
-        before = offsets[:-1][token - 1] + place
-        shared = (token > 0) & (place < sizes[token - 1])
-        shared[shared] = prefix[before[shared]] == prefix[shared]
-        by_place = np.argsort(place.astype(np.uint32), kind="stable")
-        edge = np.empty(len(data), dtype=np.int64)
-        edge[by_place] = np.cumsum(~shared[by_place]) - 1
+        shared = (token > 0) & (place < sizes.astype(np.int32)[token - 1])
+        inside = np.flatnonzero(shared)
+        shared[inside] = prefix[offsets[:-1][token[inside] - 1] + place[inside]] == prefix[inside]
+        del inside
+        by_place = np.argsort(place.astype(np.uint16 if place.max(initial=0) < 1 << 16 else np.uint32), kind="stable")
+        edge = np.empty(len(data), dtype=np.int32)
+        edge[by_place] = np.cumsum(~shared[by_place], dtype=np.int32) - 1
+        del by_place
         self.edge, self.offsets = edge, offsets
         at = np.empty(int(edge.max(initial=-1)) + 1, dtype=np.int64)
-        at[edge[~shared]] = np.flatnonzero(~shared)
-        self.byte, self.place = data[at], place[at]
+        new = np.flatnonzero(~shared)
+        at[edge[new]] = new
+        del new, shared
+        self.byte, self.place = data[at], place[at].astype(np.int64)
         self.count = np.bincount(edge, weights=counts[token], minlength=len(at))
+        del token, place
         self.history = np.zeros(len(at), dtype=np.uint64)
         for k in range(1, 7):
             inside = self.place >= k
@@ -160,9 +167,15 @@ class Trie:
     def _prefixes(data: np.ndarray, offsets: np.ndarray, token: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Hash of each token's bytes up to and including each place."""
         power = np.multiply.accumulate(np.full(int(place.max(initial=0)) + 1, np.uint64(0xD6E8FEB86659FD93)))
-        sums = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[place])
-        base = np.concatenate([np.zeros(1, np.uint64), sums])[offsets[:-1]]
-        return ragged.mix64(sums - base[token])
+        sums = data.astype(np.uint64)
+        sums += np.uint64(1)
+        sums *= power[place]
+        np.cumsum(sums, out=sums)
+        base = np.concatenate([np.zeros(1, np.uint64), sums[offsets[1:] - 1]])[:-1]
+        sums -= base[token]
+        for start in range(0, len(sums), 1 << 18):
+            sums[start:start + (1 << 18)] = ragged.mix64(sums[start:start + (1 << 18)])
+        return sums
 
     def contexts(self, picked: np.ndarray, orders: tuple[int, ...]) -> list[np.ndarray]:
         """Hashes of the last bytes, by order, and of the whole prefix, which comes last."""
@@ -397,14 +410,21 @@ def _trie(row: dict) -> tuple[Trie, np.ndarray]:
     counts = np.frombuffer(row["counts"], "<f8")
     offsets = np.concatenate([[0], np.cumsum(sizes + 1)])
     data = np.full(int(offsets[-1]), END, dtype=np.uint8)
-    data[np.arange(int(sizes.sum())) + np.repeat(np.arange(len(sizes)), sizes)] = np.frombuffer(row["bytes"], np.uint8)
+    spelled = np.ones(len(data), dtype=bool)
+    spelled[offsets[1:] - 1] = False
+    data[spelled] = np.frombuffer(row["bytes"], np.uint8)
+    del spelled
     return Trie(data, offsets, counts), counts
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one, their binary columns as views of the batch; what the work before a row took goes back to the system."""
     for batch in batches:
         for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
+            ragged.release()
+            values = zip(batch.schema.names, [column[i] for column in batch.columns])
+            yield {name: v.as_buffer() if pa.types.is_binary(v.type) else v.as_py() for name, v in values}
+    ragged.release()
 
 
 def _first(trie: Trie, settings: Settings) -> np.ndarray:

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -93,6 +94,20 @@ def test_probabilities_sum_to_one():
     assert len(at) == 512 and len(sums) == 2 and list(sums.values()) == pytest.approx([1, 1], abs=1e-6)
 
 
+def test_trie_takes_little_memory():
+    """A shard's trie is what a task's memory goes to: building it takes a bounded number of bytes for each of its bytes."""
+    random = np.random.default_rng(1)
+    words = sorted({bytes([65 + k % 9]) + random.integers(97, 101, k % 14).astype(np.uint8).tobytes() + b" " for k in range(50_000)})
+    data, offsets = np.frombuffer(b"".join(words), np.uint8), np.concatenate([[0], np.cumsum([len(w) for w in words])])
+    tracemalloc.start()
+    trie = lm.Trie(data, offsets, np.ones(len(words)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 55 * len(data)
+    spelled = {w[:n + 1] for w in words for n in range(len(w))}
+    assert len(trie.byte) == len(spelled) and trie.count[trie.place == 0].sum() == len(words)
+
+
 def test_model_beats_the_base(spark):
     path = "/root/testdata/sf0.1"
     rows = [r for r in queries.QUERIES["op2_lm_scoring"](spark, path).collect() if r["held_out"]]
