@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 import sys
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 import numpy as np
 import pandas as pd
@@ -19,6 +19,7 @@ from bloomline.session import ensure_checkpoint_dir
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MISSING = 255  # the bin of absent values
+SLOTS_A_TASK = 32  # slots whose histograms meet in one task
 
 
 @dataclass(frozen=True)
@@ -128,6 +129,11 @@ def best_splits(sums: np.ndarray, settings: Settings) -> Split:
     return Split(by_slot[slots, best], feature, at, side == 1, left[:, feature, slots, side, at], whole[:, 0])
 
 
+def joined(parts: list[Split]) -> Split:
+    """Splits of following ranges of slots; the slots are the last axis."""
+    return Split(*(np.concatenate([getattr(p, f.name) for p in parts], axis=-1) for f in fields(Split)))
+
+
 @dataclass
 class Growth:
     """A round's trees while they grow: splits and sums of all nodes so far."""
@@ -184,10 +190,9 @@ class Growth:
         return t
 
 
-def quantile_cuts(df: DataFrame, features: list[str]) -> list[np.ndarray]:
+def quantile_cuts(df: DataFrame, features: list[str], asked: list[float] | None = None) -> list[np.ndarray]:
     """At most 254 bounds of bins for each feature, from one pass; a value belongs to the first bound that it doesn't exceed."""
-    asked = [i / 254 for i in range(254)]
-    found = df.approxQuantile(features, asked, 1 / 2540)
+    found = df.approxQuantile(features, asked or [i / 254 for i in range(254)], 1 / 2540)
     # NaN sorts behind all values; it has the bin of absent ones.
     return [np.unique([x for x in values if x == x]) for values in found]
 
@@ -232,6 +237,9 @@ class LocalRows:
     def total(self, fn, shape: tuple[int, ...]) -> np.ndarray:
         return sum((fn(b) for b in self.blocks), np.zeros(shape))
 
+    def splits(self, fn, shape: tuple[int, int, int], settings: Settings) -> Split:
+        return best_splits(self.total(fn, shape), settings)
+
     def advance(self, change) -> None:
         self.blocks = [change(b) for b in self.blocks]
 
@@ -249,10 +257,29 @@ class SharedRows:
         parts = self.state.mapPartitions(add)
         # By way of the executors if there are many.
         out = parts.treeReduce(np.add) if parts.getNumPartitions() > 8 else sum(parts.collect())
+        self.computed()
+        return out
+
+    def splits(self, fn, shape: tuple[int, int, int], settings: Settings) -> Split:
+        """Histograms meet on the executors, a range of slots in each task: the driver gets a few numbers for each slot."""
+        slots = shape[2] // 256
+        tasks = min(self.state.getNumPartitions(), -(-slots // SLOTS_A_TASK))
+        edges = [slots * t // tasks * 256 for t in range(tasks + 1)]
+
+        def add(part: Iterator[Block]) -> Iterator[tuple[int, np.ndarray]]:
+            sums = sum((fn(b) for b in part), np.zeros(shape))
+            for t in range(tasks):
+                yield t, np.ascontiguousarray(sums[:, :, edges[t]:edges[t + 1]])
+
+        met = self.state.mapPartitions(add).reduceByKey(np.add, tasks, lambda t: t)
+        found = dict(met.mapValues(lambda sums: best_splits(sums, settings)).collect())
+        self.computed()
+        return joined([found[t] for t in range(tasks)])
+
+    def computed(self) -> None:
         if self.old is not None:
             self.old.unpersist()
             self.old = None
-        return out
 
     def advance(self, change) -> None:
         self.old, self.state = self.state, self.state.map(change).persist()
@@ -286,8 +313,8 @@ def boost(rows: LocalRows | SharedRows, models: int, features: int, settings: Se
 
 def grow_level(rows: LocalRows | SharedRows, growth: Growth, features: int, level: int, settings: Settings) -> None:
     trees, slots, count = growth.trees, growth.slots(), len(growth.open)
-    found = rows.total(lambda b: histogram(b, trees, slots, count, level), (2, features, count * 256))
-    growth.add(best_splits(found, settings), settings, level)
+    found = rows.splits(lambda b: histogram(b, trees, slots, count, level), (2, features, count * 256), settings)
+    growth.add(found, settings, level)
 
 
 @dataclass(frozen=True)
@@ -351,8 +378,9 @@ def fit_boosted(df: DataFrame, members: list[Column], features: list[str], targe
     without such rows): for folds, their validation errors.
 
     A pass over the blocks sums gradients by model, open node, feature and bin
-    for all models at once; the driver gets these sums, whose size depends on the
-    settings alone, and sends the chosen splits with the next pass. Predictions
+    for all models at once; these sums, whose size depends on the settings alone,
+    meet on the executors, and the driver gets the splits chosen there and sends
+    them with the next pass. Predictions
     so far stay with their blocks. Up to ``task_rows`` rows are no work for
     several tasks; then each model takes its passes in a task of its own.
     """
