@@ -5,19 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bloomline.config import (
     CANDIDATE_MODELS, CV_FOLDS, FEATURES, FIRST_BLOOM, REQUIRED_FEATURES, SEED, TARGET, TEST_PERCENT,
 )
+from bloomline.operators import forests
 from bloomline.operators.boosting import BoostedTrees, Settings, fit_boosted
 from bloomline.operators.linear import LinearModel, fold_models, gram_sums, held_out_prediction, solve, total
 from bloomline.session import ensure_checkpoint_dir
@@ -68,7 +65,7 @@ def cv_fold(df: DataFrame, keys: list[str] = ROW_KEY, folds: int = CV_FOLDS) ->
     return df.withColumn("fold", _bucket(keys, 9, folds))
 
 
-Model = LinearModel | BoostedTrees | PipelineModel
+Model = LinearModel | BoostedTrees | forests.RandomForestRegressionModel
 
 
 @dataclass(frozen=True)
@@ -81,15 +78,14 @@ class Fitted:
 
     @property
     def kind(self) -> str:
-        own = self.model
-        return type(own.stages[-1] if isinstance(own, PipelineModel) else own).__name__
+        return type(self.model).__name__
 
 
-def forest(params: dict, features: list[str] = FEATURES) -> Pipeline:
-    regressor = RandomForestRegressor(
-        featureSubsetStrategy="all", seed=SEED, cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=128,
-        featuresCol="_features", labelCol=TARGET, predictionCol="prediction", **params)
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_features"), regressor])
+def forest(rows: DataFrame, members: list[Column], params: dict) -> list[forests.RandomForestRegressionModel]:
+    names = {"numTrees": "trees", "maxDepth": "depth", "minInstancesPerNode": "least_rows"}
+    settings = forests.Settings(seed=SEED, **{names[k]: v for k, v in params.items()})
+    key = [c for c in ROW_KEY if c in rows.columns] or [*FEATURES, TARGET]
+    return forests.fit_forests(rows, members, FEATURES, TARGET, key, settings)
 
 
 def boosting(params: dict) -> Settings:
@@ -116,13 +112,14 @@ def fit_boosting(rows: DataFrame, params: dict, folds: int) -> Fitted:
 
 
 def fit_forest(rows: DataFrame, params: dict, folds: int) -> Fitted:
-    validator = CrossValidator(
-        estimator=forest(params), estimatorParamMaps=ParamGridBuilder().build(), numFolds=folds, foldCol="fold", parallelism=folds,
-        evaluator=RegressionEvaluator(labelCol=TARGET, predictionCol="prediction", metricName="mae"), collectSubModels=False)
-    work = {"folds": lambda: validator.fit(rows.where("split = 'train'")), "all": lambda: forest(params).fit(rows)}
-    done = concurrently(rows.sparkSession, work)
-    chosen = done["folds"]
-    return Fitted(float(chosen.avgMetrics[0]), float(chosen.stdMetrics[0]), chosen.bestModel, done["all"])
+    """Folds, training rows and all rows as training sets of the same passes."""
+    train = F.col("split") == "train"
+    members = [train & (F.col("fold") != f) for f in range(folds)] + [train, F.lit(True)]
+    models = forest(rows, members, params)
+    held = [models[f].transform(rows.where(train & (F.col("fold") == f))).select("fold", "prediction", TARGET) for f in range(folds)]
+    by_fold = reduce(DataFrame.unionAll, held).groupBy("fold").agg(F.avg(F.abs(F.col("prediction") - F.col(TARGET))).alias("mae"))
+    errors = [r["mae"] for r in by_fold.where("mae IS NOT NULL").orderBy("fold").collect()]
+    return Fitted(float(np.mean(errors)), float(np.std(errors)), models[folds], models[folds + 1])
 
 
 BUILDERS: dict[str, Callable[[DataFrame, dict, int], Fitted]] = {
@@ -133,20 +130,17 @@ BUILDERS: dict[str, Callable[[DataFrame, dict, int], Fitted]] = {
 
 
 def with_prediction(model: Model, df: DataFrame) -> DataFrame:
-    return model.transform(df).drop("_features")
+    return model.transform(df)
 
 
 def save_model(spark: SparkSession, model: Model, path: str) -> None:
-    if isinstance(model, PipelineModel):
-        model.write().overwrite().save(path)
-    else:
-        model.save(spark, path)
+    model.save(spark, path)
 
 
 def load_model(spark: SparkSession, name: str, path: str) -> Model:
     """A stored fit of the candidate ``name``."""
-    loaders = {"linear_regression": LinearModel.load, "hist_gradient_boosting": BoostedTrees.load}
-    return loaders[name](spark, path) if name in loaders else PipelineModel.load(path)
+    loaders = {"linear_regression": LinearModel, "random_forest": forests.RandomForestRegressionModel, "hist_gradient_boosting": BoostedTrees}
+    return loaders[name].load(spark, path)
 
 
 def regression_metrics(
@@ -262,7 +256,7 @@ def fit_final_model(train: DataFrame, name: str, candidates: dict[str, dict] = C
         return solve(total(list(gram_sums(train, [], FEATURES, TARGET).values())), FEATURES)
     if name == "hist_gradient_boosting":
         return fit_boosted(compact(train), [F.lit(True)], FEATURES, TARGET, boosting(candidates[name]))[0][0]
-    return forest(candidates[name]).fit(compact(train))
+    return forest(compact(train), [F.lit(True)], candidates[name])[0]
 
 
 def station_extremes(metrics: DataFrame) -> DataFrame:
