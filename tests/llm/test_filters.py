@@ -76,6 +76,31 @@ def test_rules_without_labels(docs, labels):
     assert len(rules.judge_quality(docs, labels.limit(0)).collect()) == docs.count()
 
 
+def test_ngrams_are_hashed_as_rows(docs, labels):
+    """Lambdas over arrays are interpreted, at several times the cost: no n-gram is hashed, and no row made, by one."""
+    plan = rules.judge_quality(docs, labels)._jdf.queryExecution().executedPlan().toString()
+    made = [line for line in plan.splitlines() if "Generate " in line]
+    assert any("xxhash64" in line for line in made) and not any("lambdafunction" in line for line in made)
+
+
+def test_ngram_rows_are_the_array(spark):
+    data = [(0, "a a a"), (1, None), (2, ""), (3, " \n"), (4, "^ ^ x1y\u00e9 \u4e2d\u6587##  ^"), (5, "= ="), (5, "b"), (6, "\U0001d400b 12 a\u0301")]
+    frame = spark.createDataFrame(data, "n int, text string").withColumn("wanted", rules.hashed_ngrams("text", 16))
+    got = {i: [] for i in range(7)}
+    for r in rules.ngram_rows(frame, "text", 16, "n").collect():
+        got[r["n"]].append(r["bucket"])
+    want = {i: sorted(b for r in frame.collect() if r["n"] == i for b in r["wanted"]) for i in range(7)}
+    assert {i: sorted(b for b in found if b is not None) for i, found in got.items()} == want
+    assert [got[i] for i in (1, 2, 3)] == [[None, None]] * 3
+
+
+def test_repeated_windows_at_edges(spark, labels):
+    texts = ["a b", "a b c", "a a a a", "a b c a b c", "a b a b a", "x a b c y a b c", "a b c d a b c e b c d", "a b c " * 40 + "z", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_repeat_words"] for r in rules.judge_quality(frame, labels).collect()}
+    assert got == {i: plain_rules(t)[4] for i, t in enumerate(texts)}
+
+
 def test_features_are_the_words_ngrams():
     settings = qc.Settings()
     bucket, offsets = qc.features(pa.array(["ab", "ab", "xyz", "é"]), settings)
