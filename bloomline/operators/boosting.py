@@ -228,22 +228,6 @@ def blocks(df: DataFrame, members: list[Column], cuts: list[np.ndarray], feature
     return chosen.mapInArrow(pack, "bins binary, y binary, members binary").rdd.map(unpack)
 
 
-class LocalRows:
-    """Rows of one task."""
-
-    def __init__(self, blocks: list[Block]) -> None:
-        self.blocks = blocks
-
-    def total(self, fn, shape: tuple[int, ...]) -> np.ndarray:
-        return sum((fn(b) for b in self.blocks), np.zeros(shape))
-
-    def splits(self, fn, shape: tuple[int, int, int], settings: Settings) -> Split:
-        return best_splits(self.total(fn, shape), settings)
-
-    def advance(self, change) -> None:
-        self.blocks = [change(b) for b in self.blocks]
-
-
 class SharedRows:
     """Rows of the cluster: a job for each sum; the blocks' predictions go to the checkpoint folder every few changes."""
 
@@ -293,7 +277,7 @@ class SharedRows:
                 rdd.unpersist()
 
 
-def boost(rows: LocalRows | SharedRows, models: int, features: int, settings: Settings) -> tuple[np.ndarray, list[Trees]]:
+def boost(rows: SharedRows, models: int, features: int, settings: Settings) -> tuple[np.ndarray, list[Trees]]:
     """Means that the models start from, and their trees by round; all models grow in the same passes over the rows."""
     sums = rows.total(lambda b: np.stack([(b.members * b.y[:, None]).sum(axis=0), b.members.sum(axis=0)]), (2, models))
     base = np.divide(sums[0], sums[1], out=np.zeros(models), where=sums[1] > 0)
@@ -311,12 +295,89 @@ def boost(rows: LocalRows | SharedRows, models: int, features: int, settings: Se
     return base, rounds
 
 
-def grow_level(rows: LocalRows | SharedRows, growth: Growth, features: int, level: int, settings: Settings) -> None:
+def grow_level(rows: SharedRows, growth: Growth, features: int, level: int, settings: Settings) -> None:
     trees, slots, count = growth.trees, growth.slots(), len(growth.open)
     found = rows.splits(lambda b: histogram(b, trees, slots, count, level), (2, features, count * 256), settings)
     growth.add(found, settings, level)
 
 
+def histogram_here(bins: np.ndarray, gradient: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of gradients and numbers of rows by feature and bin; ``bins`` is features x rows."""
+    out = np.empty((2, len(bins), 256))
+    own = gradient[rows]
+    for f, column in enumerate(bins):
+        at = column[rows].astype(np.intp)
+        out[0, f] = np.bincount(at, own, 256)
+        out[1, f] = np.bincount(at, minlength=256)
+    return out
+
+
+def grow_here(trees: Trees, number: int, bins: np.ndarray, gradient: np.ndarray, counts: np.ndarray, settings: Settings) -> None:
+    """The tree ``number`` of rows that are all here, and its step in their gradients; ``counts`` are rows by feature and bin.
+
+    The node of the largest gain is split first. Rows stay sorted by node, and only the smaller child of a node is counted:
+    the other one has the rest of the node's histogram.
+    """
+    rows = np.arange(bins.shape[1])
+    spans, sums, queue, leaves = {0: (0, len(rows))}, {}, [], 1
+
+    def offer(nodes: list[int], histograms: list[np.ndarray]) -> None:
+        found = best_splits(np.concatenate(histograms, axis=2), settings)
+        for s, node in enumerate(nodes):
+            sums[node] = found.whole[:, s]
+            if found.gain[s] > settings.least_gain:
+                heapq.heappush(queue, (-found.gain[s], node, histograms[s], found.feature[s], found.bin[s], found.missing_left[s], found.left[:, s]))
+
+    offer([0], [np.array([[np.bincount(column, gradient, 256) for column in bins], counts], np.float64)])
+    while queue and leaves < settings.leaves:
+        _, node, whole, feature, upto, missing_left, left = heapq.heappop(queue)
+        trees.feature[number, node], trees.bin[number, node], trees.missing_left[number, node] = feature, upto, missing_left
+        start, stop = spans.pop(node)
+        side = np.arange(256) <= upto
+        side[MISSING] = missing_left
+        here = rows[start:stop]
+        goes_left = side[bins[feature][here]]
+        parts = here[goes_left], here[~goes_left]
+        middle = start + len(parts[0])
+        rows[start:middle], rows[middle:stop] = parts
+        children = 2 * node + 1, 2 * node + 2
+        spans[children[0]], spans[children[1]] = (start, middle), (middle, stop)
+        sums[children[0]], sums[children[1]] = left, sums[node] - left
+        leaves += 1
+        small = int(len(parts[1]) < len(parts[0]))
+        room = children[0] < 2 ** settings.depth - 1 and leaves < settings.leaves
+        wanted = [c for c in (0, 1) if room and len(parts[c]) >= 2 * settings.least_rows]
+        if wanted:
+            counted = histogram_here(bins, gradient, parts[small])
+            rest = whole - counted
+            rest[0][rest[1] == 0] = 0  # nothing of the rounding stays where no row is
+            offer([children[c] for c in wanted], [counted if c == small else rest for c in wanted])
+    for node, (start, stop) in spans.items():
+        g, n = sums[node]
+        trees.value[number, node] = -settings.rate * g / n if n else 0
+        gradient[rows[start:stop]] += trees.value[number, node]
+
+
+def boost_here(bins: np.ndarray, y: np.ndarray, settings: Settings) -> tuple[float, Trees]:
+    """What ``boost`` gives for one model whose rows are all here; ``bins`` is features x rows."""
+    base = float(y.mean()) if len(y) else 0.0
+    trees, gradient = Trees.empty(settings.rounds, settings.nodes), base - y
+    counts = np.stack([np.bincount(column, minlength=256) for column in bins])
+    for number in range(settings.rounds):
+        grow_here(trees, number, bins, gradient, counts, settings)
+    return base, trees
+
+
+def predicted(base: float, trees: Trees, bins: np.ndarray, depth: int, chunk: int = 1 << 13) -> np.ndarray:
+    """Sums over all trees for rows x features, some rows at a time."""
+    out = np.full(len(bins), base)
+    for start in range(0, len(bins), chunk):
+        piece, own = bins[start:start + chunk], out[start:start + chunk]
+        for r in range(len(trees.feature)):
+            own += trees.value[r][node_of(trees, r, piece, depth)]
+    return out
+
+
 @dataclass(frozen=True)
 class BoostedTrees:
     """A fitted model: bounds of bins, the mean it starts from, and its trees by round."""
@@ -328,15 +389,11 @@ class BoostedTrees:
     def transform(self, df: DataFrame) -> DataFrame:
         """``prediction`` for every row, in Arrow batches; a null or NaN value goes the way that absent values went."""
         cuts, base, trees = [np.array(c) for c in self.cuts], self.base, self.trees
-        rounds, nodes = trees.feature.shape
-        depth = (nodes + 1).bit_length() - 2
+        depth = (trees.feature.shape[1] + 1).bit_length() - 2
 
         def predict(*columns: pd.Series) -> pd.Series:
             bins = bins_of([c.to_numpy(dtype=np.float64, na_value=np.nan) for c in columns], cuts)
-            out = np.full(len(bins), base)
-            for r in range(rounds):
-                out += trees.value[r][node_of(trees, r, bins, depth)]
-            return pd.Series(out)
+            return pd.Series(predicted(base, trees, bins, depth))
 
         scored = F.pandas_udf(predict, "double")
         return df.withColumn("prediction", scored(*[F.col(f).cast("double") for f in self.features]))
@@ -364,8 +421,8 @@ NODE_COLUMNS = "round int, node int, feature int, bin int, missing_left boolean,
 HEAD_COLUMNS = "features array<string>, cuts array<array<double>>, base double, rounds int, nodes int"
 
 
-#: Rows of which one task takes a model's whole fit, since the passes then need nothing from other tasks.
-TASK_ROWS = 50_000
+#: Rows of which one task takes a model's whole fit, in about 65 bytes a row. The jobs of a fit on the cluster take longer than that.
+TASK_ROWS = 3_000_000
 
 
 def fit_boosted(df: DataFrame, members: list[Column], features: list[str], target: str, settings: Settings = Settings(),
@@ -381,8 +438,9 @@ def fit_boosted(df: DataFrame, members: list[Column], features: list[str], targe
     for all models at once; these sums, whose size depends on the settings alone,
     meet on the executors, and the driver gets the splits chosen there and sends
     them with the next pass. Predictions
-    so far stay with their blocks. Up to ``task_rows`` rows are no work for
-    several tasks; then each model takes its passes in a task of its own.
+    so far stay with their blocks. These passes are jobs, up to ``depth`` for each
+    round. Up to ``task_rows`` rows, each model is fitted in a task of its own
+    instead, to the same trees.
     """
     ensure_checkpoint_dir(df.sparkSession)
     models, p = len(members), len(features)
@@ -394,19 +452,20 @@ def fit_boosted(df: DataFrame, members: list[Column], features: list[str], targe
         return np.stack([(np.abs(b.predicted - b.y[:, None]) * outside).sum(axis=0), outside.sum(axis=0)])
 
     def whole(part: Iterator[tuple[int, Block]]) -> Iterator[tuple[int, float, Trees, np.ndarray]]:
-        own, known, number = [], [], None
-        for number, b in part:  # noqa: B007
-            known.append(b.members[:, [1]])
-            own.append(Block(b.bins, b.y, b.members[:, :1], b.predicted[:, :1]))
-        if number is not None:
-            rows = LocalRows(own)
-            base, rounds = boost(rows, 1, p, settings)
-            off = sum(missed(b, k) for b, k in zip(rows.blocks, known))
-            yield number, float(base[0]), stacked(rounds, 0), off[:, 0]
+        pieces = list(part)
+        if pieces:
+            bins, y, used = (np.concatenate([getattr(b, name) for _, b in pieces]) for name in ("bins", "y", "members"))
+            number = pieces[0][0]
+            pieces.clear()
+            base, trees = boost_here(np.ascontiguousarray(bins[used].T), y[used], settings)
+            off = np.abs(predicted(base, trees, bins[~used], settings.depth) - y[~used])
+            yield number, base, trees, np.array([off.sum(), len(off)])
 
     def of_model(b: Block, m: int) -> tuple[int, Block]:
-        other = b.members[:, train if train is not None else m]
-        return m, Block(b.bins, b.y, np.stack([b.members[:, m], other], axis=1), b.predicted[:, :1])
+        """Rows that the model is trained on, and those that only ``train`` has."""
+        own = b.members[:, m]
+        kept = own | b.members[:, train if train is not None else m]
+        return m, Block(b.bins[kept], b.y[kept], own[kept], b.predicted[:0])
 
     try:
         if start.map(lambda b: len(b.y)).sum() <= task_rows:

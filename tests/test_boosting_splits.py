@@ -24,3 +24,30 @@ def test_driver_gets_splits_not_histograms(spark, monkeypatch):
     assert max(sizes) <= 4 and max(slots) > 1
     for one, two in zip(want, got):
         assert (one.trees.feature == two.trees.feature).all() and one.trees.value == pytest.approx(two.trees.value)
+
+
+def test_many_rows_need_no_job_for_each_level(spark, monkeypatch):
+    """A task holds a model's rows and grows all its trees, node by node; the passes over the cluster are for more rows than that."""
+    df = spark.range(60_000, numPartitions=4).select(
+        (F.col("id") % 977).cast("double").alias("a"), (F.col("id") % 61).cast("double").alias("b"),
+        (F.col("id") % 13 + F.col("id") % 977 / 100).cast("double").alias("y"), "id")
+    fit = lambda: boosting.fit_boosted(df, [F.lit(True), F.col("id") % 3 > 0], ["a", "b"], "y", boosting.Settings(rounds=3, depth=4), train=0)
+    monkeypatch.setattr(boosting, "SharedRows", None)
+    models, errors = fit()
+    assert len(models) == 2 and errors[0] is None and errors[1] > 0
+
+
+def test_larger_child_has_the_rest():
+    """Sums of the child that is not counted are those of its rows; where it has none, they are exactly zero."""
+    random = np.random.default_rng(2)
+    bins, y = random.integers(0, 6, (3, 500)).astype(np.uint8), random.normal(size=500)
+    settings = boosting.Settings(rounds=4, depth=5, least_rows=3, leaves=12)
+    base, here = boosting.boost_here(bins, y, settings)
+    gradient = base - y
+    for number in range(settings.rounds):
+        node = boosting.node_of(here, number, bins.T, settings.depth)
+        assert (here.feature[number] >= 0).sum() == 11
+        for leaf in np.unique(node):
+            assert here.value[number, leaf] == pytest.approx(-settings.rate * gradient[node == leaf].mean())
+        gradient += here.value[number][node]
+    assert boosting.predicted(base, here, bins.T, settings.depth, chunk=64) - y == pytest.approx(gradient)

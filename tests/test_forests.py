@@ -82,3 +82,22 @@ def test_candidate_is_this_forest(spark, rows):
 def test_draws_are_poisson():
     counts = np.bincount(f.drawn(np.arange(100_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), 3, 42), minlength=4) / 100_000
     assert counts[:4] == pytest.approx(np.exp(-1) / np.array([1, 1, 2, 6]), abs=0.01)
+
+
+def test_many_rows_stay_in_tasks(spark, monkeypatch):
+    """Rows of a tree are not sent tree by tree while those of a model fit a task."""
+    df = spark.range(110_000, numPartitions=4).select(
+        (F.col("id") % 977).cast("double").alias("a"), (F.col("id") % 13 + F.col("id") % 977 / 100).cast("double").alias("y"), "id")
+    monkeypatch.setattr(f, "grow_on_cluster", None)
+    fitted = f.fit_forests(df, [F.lit(True)], ["a"], "y", ["id"], f.Settings(trees=2, depth=3))
+    assert len(fitted[0].trees) == 2
+
+
+def test_children_share_the_sums():
+    random = np.random.default_rng(6)
+    bins, slot, child = random.integers(0, 4, (300, 2)).astype(np.uint8), random.integers(0, 3, 300), random.integers(0, 2, 300)
+    y, weight = np.rint(random.normal(size=300) * 9), random.integers(1, 4, 300).astype(np.uint8)
+    sums = lambda used: f.histogram(bins[used], y[used], weight[used], slot[used], 3, 4).reshape(2, 2, 3, 4)
+    right = np.array([True, False, True])
+    both = f.children_sums(sums(child >= 0), sums(child == right[slot]), right)
+    assert (both[:, :, :, 0] == sums(child == 0)).all() and (both[:, :, :, 1] == sums(child == 1)).all()
