@@ -17,7 +17,7 @@ from bloomline.operators.boosting import bins_of, quantile_cuts
 # Tasks get this module's functions by value: executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Rows that one task may grow trees, or what is below a node of one, from, in about 120 bytes a row.
+#: Rows that one task may grow trees, or what is below a node of one, from, in about 80 bytes a row.
 TASK_ROWS = 3_000_000
 #: Tasks that share the trees of a model.
 GROUPS = 16
